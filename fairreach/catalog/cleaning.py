@@ -120,8 +120,8 @@ def _(t):
 
 @query(
     "str_initcap",
-    """SELECT p_partkey, array_to_string(list_transform(string_split(lower(p_type), ' '), w -> upper(w[1]) || w[2:]), ' ') AS type,
-       array_to_string(list_transform(string_split(lower(p_name), ' '), w -> upper(w[1]) || w[2:]), ' ') AS name FROM part""",
+    """SELECT p_partkey, array_to_string(list_transform(string_split(lower(p_type), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS type,
+       array_to_string(list_transform(string_split(lower(p_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS name FROM part""",
 )
 def _(t):
     return t.part.select(
@@ -129,7 +129,7 @@ def _(t):
     )
 
 
-_WORDS = "list_transform(string_split({0}, '_'), w -> CASE WHEN w IN ('am', 'pm', 'uk') THEN upper(w) ELSE upper(w[1]) || w[2:] END)"
+_WORDS = "list_transform(string_split({0}, '_'), lambda w: CASE WHEN w IN ('am', 'pm', 'uk') THEN upper(w) ELSE upper(w[1]) || w[2:] END)"
 _NAMES = "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type ELSE event_type || '_am_score' END AS name FROM events"
 
 

@@ -119,19 +119,23 @@ def _(t: Tables):
 
 @query(
     "src_roads",
-    """SELECT o_custkey AS osm_id, 'road' AS amenity, count(*) AS vertices, round(sum(o_totalprice / 1000), 4) AS x_sum
+    """SELECT o_custkey AS osm_id, 'road' AS amenity, count(*) AS vertices, round(sum(o_totalprice / 1000), 6) AS x_sum
        FROM orders GROUP BY 1""",
 )
 def _(t: Tables):
     """Each customer's orders as an OSM way whose nodes are the orders."""
     path = scratch_path(t.spark, "roads")
-    nodes = t.orders.select(
-        F.format_string('<node id="%d" lat="52.5" lon="%.5f"></node>', "o_orderkey", F.col("o_totalprice") / 1000).alias("value")
-    )
+    node = F.format_string('<node id="%d" lat="52.5" lon="%.5f"></node>', "o_orderkey", F.col("o_totalprice") / 1000)
     ref = F.format_string('<nd ref="%d"/>', "o_orderkey")
     ways = t.orders.groupBy("o_custkey").agg(F.array_join(F.sort_array(F.collect_list(ref)), "").alias("nds"))
-    lines = ways.select(F.concat(F.format_string('<way id="%d">', "o_custkey"), "nds", F.lit('<tag k="amenity" v="road"/></way>')).alias("value"))
-    nodes.unionByName(lines).write.text(path)
+    way = F.concat(F.format_string('<way id="%d">', "o_custkey"), "nds", F.lit('<tag k="amenity" v="road"/></way>'))
+    parts = t.orders.select(F.concat(F.lit("n"), F.floor(F.col("o_orderkey") / 2000)).alias("b"), node.alias("value")).unionByName(
+        ways.select(F.concat(F.lit("w"), F.floor(F.col("o_custkey") / 500)).alias("b"), way.alias("value"))
+    )
+    # a document holds a fixed number of nodes or ways, so its size does not grow with the table
+    document = F.concat(F.lit("<osm>"), F.array_join(F.collect_list("value"), ""), F.lit("</osm>"))
+    parts.groupBy("b").agg(document.alias("value")).write.partitionBy("b").text(path)
+    path = f"{path}/b=*"
     roads = spatial.read_ways(t.spark, path)
     x_sum = F.aggregate("way", F.lit(0.0), lambda acc, p: acc + p["x"])
-    return roads.select("osm_id", "amenity", F.size("way").cast("bigint").alias("vertices"), F.round(x_sum, 4).alias("x_sum"))
+    return roads.select("osm_id", "amenity", F.size("way").cast("bigint").alias("vertices"), F.round(x_sum, 6).alias("x_sum"))

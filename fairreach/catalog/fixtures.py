@@ -202,7 +202,7 @@ FIXTURE_SQL = {
     "fx_points": """SELECT vec_id AS point_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y
         FROM embeddings""",
     "fx_segments": """SELECT vec_id AS line_id, 0 AS seg, CAST(embedding[3] AS DOUBLE) AS ax, CAST(embedding[4] AS DOUBLE) AS ay,
-        CAST(embedding[5] AS DOUBLE) AS bx, CAST(embedding[6] AS DOUBLE) AS by FROM embeddings
+        CAST(embedding[5] AS DOUBLE) AS zx, CAST(embedding[6] AS DOUBLE) AS zy FROM embeddings
         UNION ALL SELECT vec_id, 1, CAST(embedding[5] AS DOUBLE), CAST(embedding[6] AS DOUBLE),
         CAST(embedding[7] AS DOUBLE), CAST(embedding[8] AS DOUBLE) FROM embeddings""",
     "fx_tri0": f"""SELECT s_suppkey AS poly_id, {_sql_lon('s_suppkey')} + 0.00003e0 AS cx,

@@ -54,8 +54,8 @@ def _(t: Tables):
     return near.select("oa_id", "poi_id", F.col("rank").cast("bigint").alias("rank"), F.round("dist", 9).alias("dist"))
 
 
-_SNAP = """hits AS (SELECT point_id, line_id, seg, ax + w * (bx - ax) AS sx, ay + w * (by - ay) AS sy, x, y FROM
-    (SELECT p.*, s.*, greatest(0e0, least(1e0, ((x - ax) * (bx - ax) + (y - ay) * (by - ay)) / ((bx - ax) * (bx - ax) + (by - ay) * (by - ay)))) AS w
+_SNAP = """hits AS (SELECT point_id, line_id, seg, ax + w * (zx - ax) AS sx, ay + w * (zy - ay) AS sy, x, y FROM
+    (SELECT p.*, s.*, greatest(0e0, least(1e0, ((x - ax) * (zx - ax) + (y - ay) * (zy - ay)) / ((zx - ax) * (zx - ax) + (zy - ay) * (zy - ay)))) AS w
     FROM fx_points p, fx_segments s)),
     near AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY (x - sx) * (x - sx) + (y - sy) * (y - sy), line_id, seg) AS n FROM hits)"""
 
@@ -103,8 +103,8 @@ def _(t: Tables):
 
 @query(
     "geo_closest_point",
-    """WITH hits AS (SELECT point_id, seg, x, y, ax + w * (bx - ax) AS sx, ay + w * (by - ay) AS sy FROM
-       (SELECT p.*, s.*, greatest(0e0, least(1e0, ((x - ax) * (bx - ax) + (y - ay) * (by - ay)) / ((bx - ax) * (bx - ax) + (by - ay) * (by - ay)))) AS w
+    """WITH hits AS (SELECT point_id, seg, x, y, ax + w * (zx - ax) AS sx, ay + w * (zy - ay) AS sy FROM
+       (SELECT p.*, s.*, greatest(0e0, least(1e0, ((x - ax) * (zx - ax) + (y - ay) * (zy - ay)) / ((zx - ax) * (zx - ax) + (zy - ay) * (zy - ay)))) AS w
        FROM fx_points p JOIN fx_segments s ON p.point_id = s.line_id))
        SELECT point_id, round(sx, 9) AS sx, round(sy, 9) AS sy FROM
        (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY (x - sx) * (x - sx) + (y - sy) * (y - sy), seg) AS n FROM hits) WHERE n = 1""",

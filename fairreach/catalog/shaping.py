@@ -99,12 +99,12 @@ def _(t: Tables):
 _NEAR = """near AS (SELECT o.oa_id, p.poi_id, p.type AS poi_type, o.lat AS oa_lat, o.lon AS oa_lon, p.lat AS poi_lat, p.lon AS poi_lon,
     row_number() OVER (PARTITION BY o.oa_id ORDER BY sqrt((o.lat - p.lat) * (o.lat - p.lat) + (o.lon - p.lon) * (o.lon - p.lon)), p.poi_id) AS rank
     FROM fx_oa o, fx_poi p WHERE p.type = 'School'),
-    drawn AS (SELECT near.*, sample_no, TIMESTAMP '2021-04-20 07:30:00' + to_minutes(('0x' || md5('999|' || oa_id || '|' || poi_id || '|' || sample_no)[1:8])::BIGINT % 120) AS at
+    drawn AS (SELECT near.*, sample_no, TIMESTAMP '2021-04-20 07:30:00' + to_minutes(('0x' || md5('999|' || oa_id || '|' || poi_id || '|' || sample_no)[1:8])::BIGINT % 120) AS stamp
     FROM near, range(1, 4) r(sample_no) WHERE rank <= 3)"""
 _START, _END = dt.datetime(2021, 4, 20, 7, 30), dt.datetime(2021, 4, 20, 9, 30)
 
 
-@query("gen_trips", f"WITH {_NEAR} SELECT oa_id, poi_id, poi_type, CAST(sample_no AS INTEGER) AS sample_no, strftime(at, '%Y-%m-%d') AS date, strftime(at, '%H:%M') AS time FROM drawn")
+@query("gen_trips", f"WITH {_NEAR} SELECT oa_id, poi_id, poi_type, CAST(sample_no AS INTEGER) AS sample_no, strftime(stamp, '%Y-%m-%d') AS date, strftime(stamp, '%H:%M') AS time FROM drawn")
 def _(t: Tables):
     made = trips.generate_trips(t.fx_oa(), t.fx_poi().where("type = 'School'"), _START, _END, 3)
     return made.select("oa_id", "poi_id", "poi_type", "sample_no", "date", "time")

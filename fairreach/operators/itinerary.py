@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,15 @@ TRIP_FIELDS = [
 ]
 
 
+def _computed_once(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
+    """``keep`` and the given columns, each evaluated once per row.
+
+    The optimizer copies a projected expression into every later use and into filters moved below
+    it, which would parse the same reply dozens of times. It does not look into a generator.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def parse_itineraries(
     df: DataFrame, xml_col: str, id_cols: Sequence[str], shift_hours: float = 1, zone: str = "UTC"
 ) -> DataFrame:
@@ -50,14 +59,16 @@ def parse_itineraries(
     reply or a missing field is a failed one. Of several itineraries the last counts.
     """
     reply = F.from_xml(F.col(xml_col), REPLY_SCHEMA, {"mode": "PERMISSIVE"})
-    asked = stamp(F.col("r.requestParameters.date"), F.col("r.requestParameters.time"))
+    replies = _computed_once(df.select(*id_cols, xml_col), id_cols, r=reply)
     nested = F.flatten(F.filter(F.transform("r.plan.itineraries", lambda p: p["itineraries"]), lambda a: a.isNotNull()))
-    parsed = (
-        df.select(*id_cols, reply.alias("r"))
-        .withColumn("asked", asked)
-        .withColumn("it", F.try_element_at(nested, F.lit(-1)))
-        .withColumn("failed", F.col("r.error.msg").isNotNull())
-        .withColumn("close", F.col("failed") & F.lit(TOO_CLOSE).contains(F.col("r.error.message")))
+    failed = F.col("r.error.msg").isNotNull()
+    parsed = _computed_once(
+        replies,
+        id_cols,
+        asked=stamp(F.col("r.requestParameters.date"), F.col("r.requestParameters.time")),
+        it=F.try_element_at(nested, F.lit(-1)),
+        failed=failed,
+        close=failed & F.lit(TOO_CLOSE).contains(F.col("r.error.message")),
     )
     leg_groups = F.filter(F.col("it.legs"), lambda g: g["legs"].isNotNull())
     legs = F.coalesce(F.flatten(F.transform(leg_groups, lambda g: g["legs"])), F.array().cast("array<struct<distance:double>>"))
@@ -82,14 +93,15 @@ def parse_itineraries(
     }
     empty = {name: F.lit(0).cast("int" if name == "num_transfers" else "double") for name in TRIP_FIELDS}
     empty["departure_time"] = empty["arrival_time"] = F.date_format("asked", STAMP_FORMAT)
-    fields = [
-        F.when(F.col("close"), empty[name]).when(~F.col("failed") & F.col("it").isNotNull(), read[name]).alias(name)
+    fields = {
+        name: F.when(F.col("close"), empty[name]).when(~F.col("failed") & F.col("it").isNotNull(), read[name])
         for name in TRIP_FIELDS
-    ]
+    }
+    trips = _computed_once(parsed, id_cols, **fields)
     filled = F.lit(True)
     for name in TRIP_FIELDS:
         filled = filled & F.col(name).isNotNull()
-    return parsed.select(*id_cols, *fields).withColumn("ok", filled)
+    return trips.withColumn("ok", filled)
 
 
 def trip_results(df: DataFrame, xml_col: str, id_cols: Sequence[str], **zone) -> DataFrame:

@@ -42,7 +42,10 @@ _NODE_SCHEMA = "_id bigint, _lat double, _lon double"
 
 
 def read_ways(spark: SparkSession, path: str) -> DataFrame:
-    """``(osm_id, amenity, area, tags, way)`` per way of an OSM XML file, ``way`` in node order."""
+    """``(osm_id, amenity, area, tags, way)`` per way of OSM XML files, ``way`` in node order.
+
+    A document is read by one task; large extracts come as several files under one path.
+    """
     ways = spark.read.format("xml").schema(_WAY_SCHEMA).option("rowTag", "way").load(path)
     nodes = spark.read.format("xml").schema(_NODE_SCHEMA).option("rowTag", "node").load(path)
     entries = F.transform("tag", lambda t: F.struct(t["_k"].alias("key"), t["_v"].alias("value")))
