@@ -82,7 +82,7 @@ def _places(t: Tables):
 
 @query("join_within", f"SELECT point_id, poly_id FROM {_PLACES}, fx_tri WHERE {_INSIDE}")
 def _(t: Tables):
-    return points_in_polygons(_places(t), t.fx_polys()).select("point_id", "poly_id")
+    return points_in_polygons(_places(t), t.fx_polys(), workers=t.spark.sparkContext.defaultParallelism).select("point_id", "poly_id")
 
 
 @query(

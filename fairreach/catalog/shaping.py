@@ -173,7 +173,9 @@ def _text(name: str, c) -> list:
 
 def _xml(t: Tables):
     """A router reply per order line: mostly one itinerary, some errors."""
-    item = t.lineitem.withColumn("asked", F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(8)))
+    # replies come from as many tasks as there are workers, however few files the trips were in
+    lines = t.lineitem.repartition(t.spark.sparkContext.defaultParallelism)
+    item = lines.withColumn("asked", F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(8)))
     origin = F.lit("1970-01-01").cast("timestamp_ntz")
     start = (F.timestamp_diff("SECOND", origin, F.col("asked")) - 3600 + F.col("l_quantity").cast("bigint") * 30) * 1000
     duration = F.floor(F.col("l_extendedprice") / 10)

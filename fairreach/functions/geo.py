@@ -236,11 +236,20 @@ def bounds(polygons: Column) -> Column:
     )
 
 
-def within(pt: Column, polygons: Column) -> Column:
+def edges(polygons: Column) -> Column:
+    """All edges of a multipolygon as ``array<struct<a, b>>``."""
+    return F.flatten(F.transform(F.flatten(polygons), _edges))
+
+
+# kept from the first edge the point lies on; even, and above any number of crossings
+_ON_EDGE = 1 << 30
+
+
+def within_edges(pt: Column, edge_list: Column) -> Column:
     """Strictly inside: an odd number of edges crossed to the right, and not on any edge."""
     px, py = pt["x"], pt["y"]
 
-    def edge_test(e: Column) -> Column:
+    def count(acc: Column, e: Column) -> Column:
         ax, ay, bx, by = e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]
         cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
         touches = (
@@ -249,9 +258,13 @@ def within(pt: Column, polygons: Column) -> Column:
             & py.between(F.least(ay, by), F.greatest(ay, by))
         )
         straddles = (ay > py) != (by > py)
-        right = F.when(by > ay, cross > 0).otherwise(cross < 0)
-        return F.struct(touches.alias("touches"), (straddles & right).cast("int").alias("crosses"))
+        right = (by > ay) == (cross > 0)
+        return F.when(touches, F.lit(_ON_EDGE)).when(straddles & right, acc + 1).otherwise(acc)
+
+    crossed = F.aggregate(edge_list, F.lit(0), lambda acc, e: F.when(acc == _ON_EDGE, acc).otherwise(count(acc, e)))
+    return crossed % 2 == 1
 
-    tests = F.transform(F.flatten(F.transform(F.flatten(polygons), _edges)), edge_test)
-    crossed = F.aggregate(tests, F.lit(0), lambda acc, t: acc + t["crosses"])
-    return ~F.exists(tests, lambda t: t["touches"]) & (crossed % 2 == 1)
+
+def within(pt: Column, polygons: Column) -> Column:
+    """Strictly inside a multipolygon."""
+    return within_edges(pt, edges(polygons))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairreach.operators.numbering import number_rows
@@ -36,19 +36,38 @@ def _split_medians(df: DataFrame, hot: DataFrame, keys: Sequence[str], value: st
     return hot.join(found, cond, "left").select(*keys, value)
 
 
+def _task_medians(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Medians of groups that fit in a task: one shuffle and one sort."""
+    group = Window.partitionBy(*keys)
+    middle = F.greatest(F.ceil(F.count(value).over(group) / 2), F.lit(1))
+    placed = rows.withColumns(
+        {"_middle": middle, "_at": F.row_number().over(group.orderBy(F.col(value).asc_nulls_last()))}
+    )
+    return placed.where(F.col("_at") == F.col("_middle")).select(*keys, value)
+
+
+def _hot_groups(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Groups above ``hot_rows``, or None when there are none."""
+    # a group is no larger than all rows sharing its first key, which take little to count
+    largest = rows.groupBy(keys[0]).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
+    if (largest or 0) <= hot_rows:
+        return None
+    checkpoint_root(rows.sparkSession)
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    hot = sizes.where(F.col("_n") > hot_rows).drop("_n").checkpoint()
+    return None if hot.isEmpty() else hot
+
+
 def median_by(df: DataFrame, keys: Sequence[str], value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The lower of the two middle values per group, NULLs ignored."""
     rows = df.select(*keys, value)
-    median = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}`)").alias(value)
-    checkpoint_root(df.sparkSession)
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_rows).drop("_n").checkpoint()
-    if hot.isEmpty():
-        return rows.groupBy(*keys).agg(median)
+    hot = _hot_groups(rows, keys, hot_rows)
+    if hot is None:
+        return _task_medians(rows, keys, value)
     few = F.broadcast(hot)
-    usual = rows.join(few, _same(rows, hot, keys), "left_anti").groupBy(*keys).agg(median)
+    usual = rows.join(few, _same(rows, hot, keys), "left_anti")
     large = rows.join(few, _same(rows, hot, keys), "left_semi")
-    return usual.unionByName(_split_medians(large, hot, keys, value))
+    return _task_medians(usual, keys, value).unionByName(_split_medians(large, hot, keys, value))
 
 
 def median_with_all(
@@ -56,9 +75,13 @@ def median_with_all(
 ) -> DataFrame:
     """Medians per stratum plus the median over all rows, labelled ``All times``."""
     others = [k for k in keys if k != stratum]
-    per_stratum = median_by(df, [*others, stratum], value, hot_rows)
-    overall = median_by(df, others, value, hot_rows).withColumn(stratum, F.lit(ALL_TIMES))
-    return per_stratum.unionByName(overall)
+    rows = df.select(*others, stratum, value)
+    if _hot_groups(rows, others, hot_rows) is None:
+        # a group over all strata holds its groups per stratum, so none of those is too large either
+        per_stratum, overall = (_task_medians(rows, k, value) for k in ([*others, stratum], others))
+    else:
+        per_stratum, overall = (median_by(rows, k, value, hot_rows) for k in ([*others, stratum], others))
+    return per_stratum.unionByName(overall.withColumn(stratum, F.lit(ALL_TIMES)))
 
 
 def best_poi(medians: DataFrame, keys: Sequence[str] = ("oa_id", "poi_type", "stratum", "metric")) -> DataFrame:
