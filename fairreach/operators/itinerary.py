@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairreach.functions.clock import STAMP_FORMAT, from_epoch_ms, seconds_between, stamp
+from fairreach.functions.clock import STAMP_FORMAT, from_epoch_ms, seconds_between
 from fairreach.functions.cost import fare
 
 # The reply elements that are read and the error that means an empty trip
@@ -65,7 +65,7 @@ def parse_itineraries(
     parsed = _computed_once(
         replies,
         id_cols,
-        asked=stamp(F.col("r.requestParameters.date"), F.col("r.requestParameters.time")),
+        asked=F.concat_ws(" ", "r.requestParameters.date", "r.requestParameters.time").try_cast("timestamp_ntz"),
         it=F.try_element_at(nested, F.lit(-1)),
         failed=failed,
         close=failed & F.lit(TOO_CLOSE).contains(F.col("r.error.message")),
