@@ -7,6 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# a longer list of ids would bloat the plan as a literal
+_LONG_LIST = 1000
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -31,9 +35,12 @@ def require(df: DataFrame, col: str) -> DataFrame:
 
 
 def select_areas(df: DataFrame, ids: Iterable = (), key: str = "oa_id") -> DataFrame:
-    """The listed areas; an empty list selects all."""
+    """The listed areas; an empty list selects all. Long lists become a table to join with."""
     ids = list(ids)
-    return df.where(F.col(key).isin(ids)) if ids else df
+    if len(ids) <= _LONG_LIST:
+        return df.where(F.col(key).isin(ids)) if ids else df
+    listed = df.sparkSession.createDataFrame([(i,) for i in ids], T.StructType([T.StructField(key, df.schema[key].dataType)]))
+    return df.join(listed, key, "left_semi")
 
 
 def select_pois(df: DataFrame, types: Iterable[str], col: str = "type") -> DataFrame:

@@ -13,6 +13,8 @@ from fairreach.session import checkpoint_root
 ALL_TIMES = "All times"
 # groups above this many rows are split over tasks; at most rows/limit groups can be that large
 HOT_ROWS = 1_000_000
+# large groups are broadcast by key up to this number of them and joined by a shuffle beyond
+_BROADCAST_GROUPS = 100_000
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
@@ -22,13 +24,17 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return cond
 
 
-def _split_medians(df: DataFrame, hot: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def _if_few(df: DataFrame, groups: int) -> DataFrame:
+    return F.broadcast(df) if groups <= _BROADCAST_GROUPS else df
+
+
+def _split_medians(df: DataFrame, hot: DataFrame, groups: int, keys: Sequence[str], value: str) -> DataFrame:
     """Medians by position in one global order, so a group may span any number of tasks."""
     rows = df.where(F.col(value).isNotNull()).select(*keys, value)
     placed = number_rows(rows, [*keys, value], "_at")
     middle = placed.groupBy(*keys).agg((F.min("_at") + F.ceil(F.count("*") / 2) - 1).alias("_at")).select("_at")
     # one position per hot group
-    found = placed.join(F.broadcast(middle), "_at").select(*[F.col(k).alias(f"_{k}") for k in keys], value)
+    found = placed.join(_if_few(middle, groups), "_at").select(*[F.col(k).alias(f"_{k}") for k in keys], value)
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_{k}"))
@@ -64,10 +70,11 @@ def median_by(df: DataFrame, keys: Sequence[str], value: str, hot_rows: int = HO
     hot = _hot_groups(rows, keys, hot_rows)
     if hot is None:
         return _task_medians(rows, keys, value)
-    few = F.broadcast(hot)
+    groups = hot.count()
+    few = _if_few(hot, groups)
     usual = rows.join(few, _same(rows, hot, keys), "left_anti")
     large = rows.join(few, _same(rows, hot, keys), "left_semi")
-    return _task_medians(usual, keys, value).unionByName(_split_medians(large, hot, keys, value))
+    return _task_medians(usual, keys, value).unionByName(_split_medians(large, hot, groups, keys, value))
 
 
 def median_with_all(

@@ -174,3 +174,11 @@ def test_json_rows(spark):
 
     rows = as_json(spark.createDataFrame([("E1", 1.5, 1)], "oa_id string, metric double, rank int"), ["oa_id", "metric", "rank"])
     assert json.loads(rows.first()["json"]) == {"oa_id": "E1", "metric": 1.5, "rank": 1}
+
+
+def test_long_id_lists(spark):
+    df = spark.range(5000).withColumnRenamed("id", "oa_id")
+    assert clean.select_areas(df, range(0, 6000, 2)).count() == 2500
+    assert clean.select_areas(df, [1, 2]).count() == 2
+    assert clean.select_areas(df).count() == 5000
+    assert clean.select_pois(df.withColumn("type", F.lit("t")), []).count() == 0
