@@ -85,6 +85,8 @@ def median_with_all(
     rows = df.select(*others, stratum, value)
     if _hot_groups(rows, others, hot_rows) is None:
         # a group over all strata holds its groups per stratum, so none of those is too large either
+        # placed by the coarser keys, which also serve the finer ones: both medians read one shuffle
+        rows = rows.repartition(*others)
         per_stratum, overall = (_task_medians(rows, k, value) for k in ([*others, stratum], others))
     else:
         per_stratum, overall = (median_by(rows, k, value, hot_rows) for k in ([*others, stratum], others))
