@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def fresh(df: DataFrame, name: str) -> str:
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of a batch with at most ``most`` bytes of text (one row at least) and their texts as bytes or None."""
     texts = batch.column(batch.schema.names.index(column)).cast(pa.large_binary())
-    sizes = np.cumsum([0 if x is None else x for x in pa.compute.binary_length(texts).to_pylist()])
+    sizes = np.cumsum([0 if x is None else x for x in pc.binary_length(texts).to_pylist()])
     at = 0
     while at < batch.num_rows:
         before = sizes[at - 1] if at else 0
@@ -82,6 +83,21 @@ def encode_words(lists: list[list]) -> tuple[list, np.ndarray, np.ndarray]:
     return list(codes), flat, starts
 
 
+def split_coded(texts: list, table: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """As :func:`encode_words` for the words between white space of each text after ``table`` has changed its bytes."""
+    lists = pc.ascii_split_whitespace(pa.array([t.translate(table).strip() if t else b"" for t in texts], pa.large_binary()).view(pa.large_string()))
+    sizes, words = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+    blank = pc.equal(words, "")  # a text without words is split into one empty word
+    if pc.any(blank).as_py():
+        empty = blank.to_numpy(zero_copy_only=False)
+        first = np.cumsum(sizes) - sizes
+        sizes = sizes - empty[first]
+        words = words.filter(pc.invert(blank))
+    coded = words.dictionary_encode()
+    distinct = coded.dictionary.view(pa.large_binary()).to_pylist()
+    return distinct, coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), np.concatenate([[0], np.cumsum(sizes)])
+
+
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """starts[0], starts[0]+1, ... for sizes[0] numbers, then the same for the others."""
     total = int(sizes.sum())

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import bisect
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairreach.llm.common import append_columns, encode_words, fresh, id_remainder, slices, table
+from fairreach.llm.common import append_columns, encode_words, fresh, id_remainder, slices, split_coded, table
 from fairreach.llm.registry import query
 
 BUCKETS = 1 << 15
@@ -51,24 +51,36 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def script_of(word: str) -> int:
-    """Number of the script of a word's first letter."""
-    point = ord(word[0])
+    """Number of the script of a word's first letter; an empty word has that of "other"."""
+    if "a" <= word[:1] <= "z":
+        return 1
+    point = ord(word[0]) if word else 0
     at = bisect.bisect_right(_FIRST, point) - 1
     return _NAMES.index(SCRIPTS[at][2]) if at >= 0 and point <= SCRIPTS[at][1] else 0
 
 
-def words_of(text: bytes | None) -> list[str]:
-    return _LETTERS.findall(text.decode().lower()) if text else []
+# lower-cases A-Z and turns all other ASCII bytes into spaces; bytes of longer characters stay
+_ASCII = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def coded_words(texts: list) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words, the code of every word of every text in a row, and where each text starts (one end more).
+
+    A word is what stands between ASCII characters other than letters; of a word with longer characters, the letters count
+    (some, or none).
+    """
+    words, flat, starts = split_coded(texts, _ASCII)
+    return ["".join(_LETTERS.findall(w.decode().lower())) if not w.isascii() else w.decode() for w in words], flat, starts
 
 
 def _trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of the trigram around each letter of all words in a row, and where each word's begin."""
+    """Bucket of the trigram around each letter of all words in a row, and how many each word has."""
     points = np.frombuffer(("\0" + "\0".join(words) + "\0").encode("utf-32-le"), np.uint32).astype(np.uint64)
     mixed = (points[:-2] * np.uint64(0x9E3779B1) + points[1:-1] * np.uint64(0x85EBCA77) + points[2:] * np.uint64(0xC2B2AE3D)) & np.uint64(0xFFFFFFFF)
     mixed = (mixed ^ (mixed >> np.uint64(15))) % np.uint64(BUCKETS)
     letter = points[1:-1] != 0
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    return mixed[letter].astype(np.int64), np.cumsum(sizes) - sizes
+    return mixed[letter].astype(np.int64), sizes
 
 
 class Model:
@@ -87,48 +99,113 @@ class Model:
         self.barred = np.where(used, 0, -1e4).astype(np.float32)
 
     def scores(self, words: list[str]) -> np.ndarray:
-        grams, starts = _trigrams(words)
-        return np.add.reduceat(self.log[grams], starts, axis=0) + self.barred[[script_of(w) for w in words]]
+        """Log probability of each word in each language; 0 for a word without letters."""
+        grams, sizes = _trigrams(words)
+        out = np.zeros((len(words), len(self.languages)), np.float32)
+        some = np.flatnonzero(sizes)
+        if len(some):
+            ends = np.cumsum(sizes)
+            out[some] = np.add.reduceat(self.log[grams], (ends - sizes)[some], axis=0)
+            out[some] += self.barred[[script_of(words[k]) for k in some.tolist()]]
+        return out
 
-    def label(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Language number of every word of every list, their letters, and where each list starts (one end more)."""
-        words, flat, starts = encode_words(lists)
-        labels = np.zeros(len(flat), np.int8 if len(self.languages) < 128 else np.int32)
+    def label(self, words: list[str], flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Language number of every word of every text: the path with the highest score less SWITCH for each switch."""
+        labels = np.zeros(len(flat), np.int32)
         if not len(flat):
-            return labels, flat, starts
+            return labels
         scores = self.scores(words)
         sizes = np.diff(starts)
+        some = np.flatnonzero(sizes)
+        whole = np.zeros((len(sizes), len(self.languages)))
+        whole[some] = np.add.reduceat(scores[flat], starts[:-1][some], axis=0, dtype=np.float64)
+        one = whole.argmax(1)
+        labels[:] = np.repeat(one, sizes)
+        mixed = np.flatnonzero(self._may_switch(scores, flat, starts, one))
+        if len(mixed):
+            self._label_mixed(scores, flat, starts, mixed, labels)
+        return labels
+
+    def _label_mixed(self, scores: np.ndarray, flat: np.ndarray, starts: np.ndarray, mixed: np.ndarray, labels: np.ndarray) -> None:
+        """Best paths of the texts ``mixed``, cut at words that can have one label only.
+
+        A word that a language leads by more than two switches has that label in every best path, so the stretches
+        between such words are independent.
+        """
+        two = np.sort(np.partition(scores, -2, axis=1)[:, -2:], axis=1) if scores.shape[1] > 1 else np.zeros((len(scores), 2))
+        sure = (two[:, 1] - two[:, 0] > 2 * SWITCH)[flat]
+        is_start = np.zeros(len(flat) + 1, bool)
+        is_start[starts[:-1][mixed]] = True
+        is_end = np.zeros(len(flat) + 1, bool)
+        is_end[starts[1:][mixed]] = True
+        inside = np.cumsum(is_start[:-1].astype(int) - is_end[:-1]) > 0
+        begins = np.flatnonzero(inside & (is_start[:-1] | sure))
+        finish = np.append(begins[1:], len(flat))
+        owner_end = starts[np.searchsorted(starts, begins, "right")]
+        sizes = np.minimum(finish, owner_end) - begins
+        best_one = scores.argmax(1)
+        first = np.where(sure[begins], best_one[flat[begins]], -1)
+        follows = begins + sizes
+        after = np.where(follows < owner_end, best_one[flat[np.minimum(follows, len(flat) - 1)]], -1)
+        self._viterbi(scores, flat, begins, sizes, first, after, labels)
+
+    def _may_switch(self, scores: np.ndarray, flat: np.ndarray, starts: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """Texts in which some stretch gains more than SWITCH in some other language than ``one``.
+
+        In all others the path that stays in one language is the best: every path is that one with stretches of other
+        languages put in, and each of these costs a switch at least and gains less.
+        """
+        sizes = np.diff(starts)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        own = scores[flat, one[owner]].astype(np.float64)
+        out = np.zeros(len(sizes), bool)
+        for k in range(len(self.languages)):
+            gain = scores[flat, k] - own
+            total = np.cumsum(gain)
+            # stretches do not cross texts: each text's sums are set below all earlier ones before the running minimum
+            low = total - gain - owner * (np.abs(total).max() * 2 + 1)
+            rise = total - (np.minimum.accumulate(low) + owner * (np.abs(total).max() * 2 + 1))
+            out[owner[rise > SWITCH * 0.999]] = True
+        return out
+
+    def _viterbi(self, scores: np.ndarray, flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray, first: np.ndarray, after: np.ndarray, labels: np.ndarray) -> None:
+        """Best paths of stretches of words, all a word further at each step, written into ``labels``.
+
+        first: label that a stretch begins with, after: label of the word that follows it (-1: any or none).
+        """
         order = np.argsort(-sizes, kind="stable")
-        live = np.searchsorted(-sizes[order], -np.arange(sizes.max()), "left")  # lists longer than each step
-        begins = starts[:-1][order]
-        best = np.zeros((live[0], len(self.languages)), np.float32)
-        came = np.empty((len(flat), len(self.languages)), labels.dtype)
-        own = np.arange(len(self.languages), dtype=labels.dtype)
+        begins, sizes, first, after = begins[order], sizes[order], first[order], after[order]
+        live = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")  # stretches longer than each step
+        own = np.arange(len(self.languages), dtype=np.int32)
+        at = np.concatenate([[0], np.cumsum(live)])  # where each step's rows begin in ``came``
+        came = np.empty((at[-1], len(own)), np.int32)
+        best = np.where((first[:, None] >= 0) & (first[:, None] != own), np.float32(-1e9), np.float32(0)) + scores[flat[begins]]
+        leave = np.where((after[:, None] >= 0) & (after[:, None] != own), np.float32(-SWITCH), np.float32(0))
+        last = np.zeros(len(begins), np.int32)
         for step, n in enumerate(live.tolist()):
-            at = begins[:n] + step
+            if not step:
+                continue
+            last[n : len(best)] = (best[n:] + leave[n : len(best)]).argmax(1)
             best = best[:n]
+            top = best.argmax(1)
+            switched = best[np.arange(n), top] - SWITCH
+            moved = switched[:, None] > best
+            came[at[step] : at[step + 1]] = np.where(moved, top[:, None], own)
+            best = np.maximum(best, switched[:, None]) + scores[flat[begins[:n] + step]]
+        last[: len(best)] = (best + leave[: len(best)]).argmax(1)
+        for step in range(len(live) - 1, -1, -1):
+            n = live[step]
+            labels[begins[:n] + step] = last[:n]
             if step:
-                top = best.argmax(1)
-                switched = best[np.arange(n), top] - SWITCH
-                moved = switched[:, None] > best
-                came[at] = np.where(moved, top[:, None].astype(labels.dtype), own)
-                best = np.where(moved, switched[:, None], best)
-            best = best + scores[flat[at]]
-            if step + 1 == len(live) or live[step + 1] < n:
-                ended = np.arange(live[step + 1] if step + 1 < len(live) else 0, n)
-                labels[at[ended]] = best[ended].argmax(1)
-        for step in range(len(live) - 1, 0, -1):
-            at = begins[: live[step]] + step
-            labels[at - 1] = came[at, labels[at]]
-        letters = np.fromiter(map(len, words), np.int64, len(words))[flat]
-        return labels, letters, starts
+                last[:n] = came[at[step] : at[step + 1]][np.arange(n), last[:n]]
 
     def predict(self, texts: list) -> tuple[list[str], np.ndarray]:
         """Language with most letters of each text, and its share of them; ``und`` and 0 without letters or languages."""
-        lists = [words_of(t) for t in texts]
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        labels, letters, starts = self.label(lists)
+        words, flat, starts = coded_words(texts)
+        labels = self.label(words, flat, starts)
+        letters = np.fromiter(map(len, words), np.int64, len(words))[flat]
         owner = np.repeat(np.arange(len(texts)), np.diff(starts))
         width = len(self.languages)
         sums = np.bincount(owner * width + labels, letters, len(texts) * width).reshape(-1, width)
@@ -141,7 +218,8 @@ class Model:
         found = [(m.start(), m.end()) for m in _LETTERS.finditer(text)]
         if not found or not self.languages:
             return []
-        labels = self.label([[text[a:b].lower() for a, b in found]])[0].tolist()
+        words, flat, starts = encode_words([[text[a:b].lower() for a, b in found]])
+        labels = self.label(words, flat, starts).tolist()
         out: list[tuple[str, int, int]] = []
         for (a, b), k in zip(found, labels, strict=True):
             if out and out[-1][0] == self.languages[k]:
@@ -161,18 +239,18 @@ def train(docs: DataFrame) -> Model:
         sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(BUCKETS + len(_NAMES), np.int64))
         for batch in batches:
             for part, texts in slices(batch):
-                by_lang: dict[str, Counter] = defaultdict(Counter)
-                for lang, text in zip(part.column(0).to_pylist(), texts, strict=True):
-                    by_lang[lang].update(words_of(text))
-                for lang, counter in by_lang.items():
-                    if not counter:
-                        continue
-                    words = list(counter)
-                    many = np.fromiter(counter.values(), np.int64, len(words))
-                    sizes = np.fromiter(map(len, words), np.int64, len(words))
-                    total = sums[lang]
-                    total[:BUCKETS] += np.bincount(_trigrams(words)[0], np.repeat(many, sizes), BUCKETS).astype(np.int64)
-                    total[BUCKETS:] += np.bincount([script_of(w) for w in words], many * sizes, len(_NAMES)).astype(np.int64)
+                words, flat, starts = coded_words(texts)
+                if not words:
+                    continue
+                grams, sizes = _trigrams(words)
+                script = np.array([script_of(w) for w in words])
+                langs = part.column(0).to_pylist()
+                names = sorted(set(langs))
+                of = np.repeat([names.index(x) for x in langs], np.diff(starts))
+                for k, lang in enumerate(names):
+                    many = np.bincount(flat[of == k], minlength=len(words))
+                    sums[lang][:BUCKETS] += np.bincount(grams, np.repeat(many, sizes), BUCKETS).astype(np.int64)
+                    sums[lang][BUCKETS:] += np.bincount(script, many * sizes, len(_NAMES)).astype(np.int64)
         for lang, total in sums.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at])], names=["lang", "bucket", "n"])
@@ -217,7 +295,7 @@ def split_learned(docs: DataFrame) -> DataFrame:
     return docs.where(id_remainder("doc_id", 4) != 2)
 
 
-def drop_unidentified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+def drop_unidentified(docs: DataFrame, model: Model, least: float = 1 / 3) -> DataFrame:
     """The rows of ``docs`` with a language that holds at least ``least`` of their letters, with their columns."""
     names = (fresh(docs, "llm_lang"), fresh(docs, "llm_share"))
     found = identify(docs, model, names)

@@ -1,9 +1,9 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is cut into overlapping windows of 32 words, 16 apart; its score is that of its highest window. A word
+A text is cut into overlapping windows of 32 words, 24 apart; its score is that of its highest window. A word
 enters as its own vector (words frequent in the sample) next to the mean vector of its character trigrams. Two gated recurrent
 layers read each window in both directions, attention pools their states, and a logistic unit scores the pool. Training sees
-whole texts: in each pass the highest window of each sampled text takes the text's label.
+whole texts: the highest window of each sampled text takes the text's label; it is picked anew from time to time.
 """
 
 from __future__ import annotations
@@ -13,24 +13,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairreach.llm.common import ALNUM, append_columns, encode_words, fresh, id_remainder, table
+from fairreach.llm.common import ALNUM, append_columns, fresh, id_remainder, split_coded, table
 from fairreach.llm.registry import query
 
 #: Labelled texts that the network is fitted on at most, of each label; those with the lowest hash of their id.
-SAMPLE_TOXIC, SAMPLE_OTHER = 1_000, 2_500
-WINDOW, STRIDE = 32, 16
+SAMPLE_TOXIC, SAMPLE_OTHER = 700, 1_500
+WINDOW, STRIDE = 32, 24
 HIDDEN, WIDTH = 8, 8
 VOCABULARY, CHAR_BUCKETS = 8_192, 1 << 13
-PASSES, BATCH, RATE = 6, 64, 0.01
+PICKS, PASSES, BATCH, RATE = 3, 3, 64, 0.01
 THRESHOLD = 0.3
 #: Windows scored at once.
 _AT_ONCE = 1_024
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.translate(ALNUM).split() if text else []
-
-
 def _chars(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket of the character trigram around each byte of all words in a row, where each word's begin, and how many."""
     codes = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint32)
@@ -79,18 +75,26 @@ class Network:
         chars = np.add.reduceat(self.w["char"][grams], first, axis=0) / sizes[:, None].astype(np.float32) if len(words) else np.zeros((0, WIDTH), np.float32)
         return np.concatenate([self.w["word"][known], chars], 1).astype(np.float32), (known, grams, first, sizes)
 
-    def _read(self, x: np.ndarray, mask: np.ndarray | None, d: str, keep: list | None) -> np.ndarray:
-        """States (step, window, unit) of one direction for projected inputs (step, window, 3 units)."""
-        steps, n = x.shape[:2]
+    def _read(self, x: tuple, mask: np.ndarray | None, d: str, keep: list | None) -> np.ndarray:
+        """States (step, window, unit) of one direction for projected inputs (step, window, units)."""
+        steps, n = mask.shape if mask is not None else x[0].shape[:2]
         rec, h = self.w[f"rec_{d}"], np.zeros((n, HIDDEN), np.float32)
-        gates, new = np.ascontiguousarray(rec[:, : 2 * HIDDEN]), np.ascontiguousarray(rec[:, 2 * HIDDEN :])
+        gates, new = np.ascontiguousarray(rec[:, : 2 * HIDDEN]) * np.float32(0.5), np.ascontiguousarray(rec[:, 2 * HIDDEN :])
         states = np.empty((steps, n, HIDDEN), np.float32)
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-            zr = _sigmoid(x[t, :, : 2 * HIDDEN] + h @ gates)
+            zr = h @ gates
+            zr += x[0][t]
+            np.tanh(zr, out=zr)  # sigmoid(2 a) is (1 + tanh a) / 2
+            zr += 1
+            zr *= np.float32(0.5)
             z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
             hn = h @ new
-            c = np.tanh(x[t, :, 2 * HIDDEN :] + r * hn)
-            nxt = c + z * (h - c)
+            c = r * hn
+            c += x[1][t]
+            np.tanh(c, out=c)
+            nxt = h - c
+            nxt *= z
+            nxt += c
             if mask is not None:
                 nxt = np.where(mask[t, :, None], nxt, h)
             if keep is not None:
@@ -98,7 +102,12 @@ class Network:
             h = states[t] = nxt
         return states
 
-    def forward(self, projected: dict[str, np.ndarray], mask: np.ndarray | None, keep: dict | None = None) -> np.ndarray:
+    def project(self, x: np.ndarray, d: str) -> tuple[np.ndarray, np.ndarray]:
+        """What words add to the gates (halved) and to the new state of one direction; a row of zeros at the end."""
+        p = np.concatenate([x @ self.w[f"in_{d}"] + self.w[f"bias_{d}"], np.zeros((1, 3 * HIDDEN), np.float32)])
+        return p[:, : 2 * HIDDEN] * np.float32(0.5), np.ascontiguousarray(p[:, 2 * HIDDEN :])
+
+    def forward(self, projected: dict[str, tuple], mask: np.ndarray | None, keep: dict | None = None) -> np.ndarray:
         """Logit of each window."""
         kept = {d: [] if keep is not None else None for d in "fb"}
         states = np.concatenate([self._read(projected[d], mask, d, kept[d]) for d in "fb"], 2)
@@ -115,11 +124,11 @@ class Network:
             keep.update(states=states, seen=seen, weight=weight, pooled=pooled, kept=kept)
         return pooled @ self.w["out"] + self.w["out_b"][0]
 
-    def logits(self, lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, tuple]:
-        """Logit of every window of every text, the window's text, and (words, codes, first word, length)."""
-        words, flat, starts = encode_words(lists)
+    def logits(self, coded: tuple) -> tuple[np.ndarray, tuple]:
+        """Logit of every window of coded texts, and (text, first word, length) of the windows."""
+        words, flat, starts = coded
         x, _ = self.inputs(words)
-        project = {d: np.concatenate([x @ self.w[f"in_{d}"] + self.w[f"bias_{d}"], np.zeros((1, 3 * HIDDEN), np.float32)]) for d in "fb"}
+        project = {d: self.project(x, d) for d in "fb"}
         text, first, size = _windows(starts)
         codes = np.append(flat, len(words))
         out = np.empty(len(text), np.float32)
@@ -128,8 +137,8 @@ class Network:
             for a in range(0, len(which), _AT_ONCE):
                 own = which[a : a + _AT_ONCE]
                 at, mask = self._at(codes, first[own], size[own], len(words))
-                out[own] = self.forward({d: project[d][at] for d in "fb"}, None if whole else mask)
-        return out, text, (words, codes, first, size)
+                out[own] = self.forward({d: tuple(p[at] for p in project[d]) for d in "fb"}, None if whole else mask)
+        return out, (text, first, size)
 
     @staticmethod
     def _at(codes: np.ndarray, first: np.ndarray, size: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +151,7 @@ class Network:
         """Highest window of each text, 0 to 1."""
         if not texts:
             return np.zeros(0)
-        logits, text, _ = self.logits([words_of(t) for t in texts])
+        logits, (text, *_) = self.logits(split_coded(texts, ALNUM))
         top = np.full(len(texts), -np.inf)
         np.maximum.at(top, text, logits)
         return 1 / (1 + np.exp(-np.clip(top, -60, 60)))
@@ -155,10 +164,10 @@ class Network:
         if used[-1] == len(words):
             used = used[:-1]
         x, (known, grams, first, sizes) = self.inputs([words[k] for k in used])
-        x = np.concatenate([x, np.zeros((1, 2 * WIDTH), np.float32)])
         codes = np.where(mask, codes, len(used))
         keep: dict = {}
-        logit = self.forward({d: (x @ w[f"in_{d}"] + w[f"bias_{d}"])[codes] for d in "fb"}, mask, keep)
+        logit = self.forward({d: tuple(p[codes] for p in self.project(x, d)) for d in "fb"}, mask, keep)
+        x = np.concatenate([x, np.zeros((1, 2 * WIDTH), np.float32)])
         n = len(label)
         d_logit = (_sigmoid(logit) - label).astype(np.float32) / n
         states, seen, weight, pooled = (keep[k] for k in ("states", "seen", "weight", "pooled"))
@@ -212,11 +221,12 @@ def fit(texts: list, labels: list[int], seed: int = 7) -> Network | None:
     if not len(label) or label.min() == label.max():
         return None
     rng = np.random.default_rng(seed)
-    lists = [words_of(t) for t in texts]
-    seen: dict[bytes, list[int]] = {}
-    for words, toxic in zip(lists, labels, strict=True):
-        for w in set(words):
-            seen.setdefault(w, [0, 0])[toxic] += 1
+    words, flat, starts = coded = split_coded(texts, ALNUM)
+    owner = np.repeat(np.arange(len(texts)), np.diff(starts))
+    pairs = np.unique(owner * np.int64(max(1, len(words))) + flat)
+    pairs, toxic_pair = pairs % max(1, len(words)), label[pairs // max(1, len(words))] > 0
+    both = np.stack([np.bincount(pairs[toxic_pair == k], minlength=len(words)) for k in (False, True)], 1)
+    seen: dict[bytes, list[int]] = dict(zip(words, both.tolist(), strict=True))
     frequent = sorted((w for w, n in seen.items() if sum(n) >= 3), key=lambda w: (-sum(seen[w]), w))[:VOCABULARY]
     net = Network(frequent, rng)
     toxic, other = int(label.sum()), int(len(label) - label.sum())
@@ -224,21 +234,18 @@ def fit(texts: list, labels: list[int], seed: int = 7) -> Network | None:
         counts = np.array([seen[w] for w in frequent])
         net.w["word"][1:, 0] = _log_odds(counts[:, 1], counts[:, 0], toxic, other)
     if seen:
-        words = list(seen)
         grams, _, sizes = _chars(words)
         counts = np.stack([np.bincount(grams, np.repeat([seen[w][k] for w in words], sizes), CHAR_BUCKETS) for k in (0, 1)])
         net.w["char"][:, 0] = _log_odds(counts[1], counts[0], counts[1].sum(), counts[0].sum())
     first_moment = {k: np.zeros_like(v) for k, v in net.w.items()}
     second_moment = {k: np.zeros_like(v) for k, v in net.w.items()}
     step = 0
-    for _ in range(PASSES):
-        logits, text, (words, codes, first, size) = net.logits(lists)
+    for _ in range(PICKS):
+        logits, (text, first, size) = net.logits(coded)
         order = np.lexsort((logits, text))
         top = order[np.append(text[order][1:] != text[order][:-1], True)]  # highest window of each text
-        for a in range(0, len(top), BATCH):
-            if not a:
-                top = rng.permutation(top)
-            own = top[a : a + BATCH]
+        codes = np.append(flat, len(words))
+        for own in [x for _ in range(PASSES) for x in np.array_split(rng.permutation(top), -(-len(top) // BATCH))]:
             at, mask = net._at(codes, first[own], size[own], len(words))
             step += 1
             for k, grad in net.gradients(words, at, mask, label[text[own]]).items():
