@@ -3,7 +3,8 @@
 A text is marked (a space before it; spaces stand for U+2581) and cut where no piece can cross: before each run of
 spaces and around line feeds. Of a few megabytes of texts the distinct marked words are sorted, which lists
 them as a depth-first walk of their trie; the forward scores of a prefix stay on the stack and are used again by all
-words below it. A word's best segmentation is the highest sum of piece scores.
+words below it. A word's best segmentation is the highest sum of piece scores. Models whose scores are merge ranks
+(pair-merging models) are read with the log probability that Zipf's law gives each rank, as sums of ranks mean nothing.
 """
 
 from __future__ import annotations
@@ -51,6 +52,10 @@ class Model:
             else:
                 pieces[piece.replace(MARK, " ")] = (model.get_score(i), i)
                 out.append(piece.replace(MARK, " ").encode())
+        if all(float(score).is_integer() for score, _ in pieces.values()):
+            # merge ranks, not log probabilities: the ranks' probabilities by Zipf's law take their place
+            total = np.log((1 / np.arange(1, len(pieces) + 1)).sum())
+            pieces = {p: (float(-np.log(k + 1) - total), i) for k, (p, (_, i)) in enumerate(pieces.items())}
         if any(re.search("[^ ] |.\n|\n.", p, re.S) for p in pieces) or len(self.byte_ids) < 256:
             raise ValueError("the pieces of the model must not cross words or lines, and must hold all bytes")
         self.unknown = min(s for s, _ in pieces.values()) - 10

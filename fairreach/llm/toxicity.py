@@ -1,39 +1,44 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 A text is cut into overlapping windows of 32 words, 24 apart; its score is that of its highest window. A word
-enters as its own vector (words frequent in the sample) next to the mean vector of its character trigrams. Two gated recurrent
-layers read each window in both directions, attention pools their states, and a logistic unit scores the pool. Training sees
-whole texts: the highest window of each sampled text takes the text's label; it is picked anew from time to time.
+enters as two vectors: its own, and that of its characters. Both rest on the sample's evidence: how much more often the
+word, or a run of five characters, occurs in toxic than in other texts; characters carry it over to forms of a word that the
+sample lacks. Two gated recurrent layers read each window in both directions, attention pools their states, and a logistic
+unit scores the pool. Training sees whole texts: the highest window of each sampled text takes the text's label; it is
+picked anew from time to time.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairreach.llm.common import ALNUM, append_columns, fresh, id_remainder, split_coded, table
+from fairreach.llm.common import ALNUM, append_columns, fresh, id_remainder, ranges, split_coded, table
 from fairreach.llm.registry import query
 
 #: Labelled texts that the network is fitted on at most, of each label; those with the lowest hash of their id.
 SAMPLE_TOXIC, SAMPLE_OTHER = 700, 1_500
 WINDOW, STRIDE = 32, 24
-HIDDEN, WIDTH = 8, 8
-VOCABULARY, CHAR_BUCKETS = 8_192, 1 << 13
-PICKS, PASSES, BATCH, RATE = 3, 3, 64, 0.01
+HIDDEN, WIDTH = 8, 2
+VOCABULARY, CHAR_BUCKETS = 8_192, 1 << 17
+PICKS, STEPS, BATCH, RATE = 2, 120, 64, 0.01
 THRESHOLD = 0.3
 #: Windows scored at once.
 _AT_ONCE = 1_024
 
 
-def _chars(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of the character trigram around each byte of all words in a row, where each word's begin, and how many."""
-    codes = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint32)
-    mixed = codes[:-2] * np.uint32(7919) + codes[1:-1] * np.uint32(104729) + codes[2:] * np.uint32(1299709)
-    mixed = (mixed ^ (mixed >> np.uint32(13))) % np.uint32(CHAR_BUCKETS)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    return mixed[codes[1:-1] != 32].astype(np.int64), np.cumsum(sizes) - sizes, sizes
+def _chars(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of the five bytes around each byte of all words in a row, and how many each word has."""
+    codes = np.frombuffer(b"  " + b"  ".join(words) + b"  ", np.uint8).astype(np.uint64)
+    mixed = np.zeros(len(codes) - 4, np.uint64)
+    for k in range(5):
+        mixed = mixed * np.uint64(0x100000001B3) + codes[k : k + len(mixed)]
+    mixed = (mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(CHAR_BUCKETS)
+    return mixed[codes[2:-2] != 32].astype(np.int64), np.fromiter(map(len, words), np.int64, len(words))
 
 
 def _windows(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,8 +61,6 @@ class Network:
         self.words = {w: k + 1 for k, w in enumerate(words)}
         draw = lambda *shape: (rng.standard_normal(shape) * 0.3).astype(np.float32)
         self.w = {
-            "word": 0.1 * draw(len(words) + 1, WIDTH),
-            "char": 0.1 * draw(CHAR_BUCKETS, WIDTH),
             "att": draw(2 * HIDDEN, HIDDEN),
             "att_b": np.zeros(HIDDEN, np.float32),
             "att_v": draw(HIDDEN),
@@ -66,14 +69,19 @@ class Network:
         }
         for d in "fb":
             self.w |= {f"in_{d}": draw(2 * WIDTH, 3 * HIDDEN), f"bias_{d}": np.zeros(3 * HIDDEN, np.float32), f"rec_{d}": draw(HIDDEN, 3 * HIDDEN)}
-        self.w["word"][0] = 0
-
-    def inputs(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
-        """Input vector of each word, and what its gradient needs."""
+        self.word = np.zeros((len(words) + 1, WIDTH), np.float32)  # evidence, and whether the word is known
+        self.word[1:, 1] = 1
+        self.char = np.zeros(CHAR_BUCKETS, np.float32)
+
+    def inputs(self, words: list[bytes]) -> np.ndarray:
+        """Input vector of each word: its own, and the mean and the highest evidence of its characters."""
+        if not words:
+            return np.zeros((0, 2 * WIDTH), np.float32)
         known = np.fromiter((self.words.get(w, 0) for w in words), np.int64, len(words))
-        grams, first, sizes = _chars(words)
-        chars = np.add.reduceat(self.w["char"][grams], first, axis=0) / sizes[:, None].astype(np.float32) if len(words) else np.zeros((0, WIDTH), np.float32)
-        return np.concatenate([self.w["word"][known], chars], 1).astype(np.float32), (known, grams, first, sizes)
+        grams, sizes = _chars(words)
+        found, first = self.char[grams], np.cumsum(sizes) - sizes
+        mean = np.add.reduceat(found, first) / sizes.astype(np.float32)
+        return np.column_stack([self.word[known], mean, np.maximum.reduceat(found, first)]).astype(np.float32)
 
     def _read(self, x: tuple, mask: np.ndarray | None, d: str, keep: list | None) -> np.ndarray:
         """States (step, window, unit) of one direction for projected inputs (step, window, units)."""
@@ -127,7 +135,7 @@ class Network:
     def logits(self, coded: tuple) -> tuple[np.ndarray, tuple]:
         """Logit of every window of coded texts, and (text, first word, length) of the windows."""
         words, flat, starts = coded
-        x, _ = self.inputs(words)
+        x = self.inputs(words)
         project = {d: self.project(x, d) for d in "fb"}
         text, first, size = _windows(starts)
         codes = np.append(flat, len(words))
@@ -163,7 +171,7 @@ class Network:
         codes = codes.reshape(at.shape)
         if used[-1] == len(words):
             used = used[:-1]
-        x, (known, grams, first, sizes) = self.inputs([words[k] for k in used])
+        x = self.inputs([words[k] for k in used])
         codes = np.where(mask, codes, len(used))
         keep: dict = {}
         logit = self.forward({d: tuple(p[codes] for p in self.project(x, d)) for d in "fb"}, mask, keep)
@@ -180,7 +188,6 @@ class Network:
         g["att"] = np.tensordot(states, d_seen, ((0, 1), (0, 1)))
         g["att_b"] = d_seen.sum((0, 1))
         d_states = weight[:, :, None] * d_pooled + d_seen @ w["att"].T
-        d_x = np.zeros_like(x)
         for k, d in enumerate("fb"):
             d_state = d_states[:, :, k * HIDDEN : (k + 1) * HIDDEN]
             rec = w[f"rec_{d}"]
@@ -199,20 +206,33 @@ class Network:
                 d_h = np.where(m, d_new * z, total) + d_gate @ rec.T
             g[f"rec_{d}"], g[f"bias_{d}"] = d_rec, d_proj.sum((0, 1))
             g[f"in_{d}"] = np.tensordot(x[codes], d_proj, ((0, 1), (0, 1)))
-            np.add.at(d_x, codes, d_proj @ w[f"in_{d}"].T)
-        d_x = d_x[:-1]
-        g["word"] = np.zeros_like(w["word"])
-        np.add.at(g["word"], known, d_x[:, :WIDTH])
-        g["word"][0] = 0
-        g["char"] = np.zeros_like(w["char"])
-        if len(used):
-            np.add.at(g["char"], grams, np.repeat(d_x[:, WIDTH:] / sizes[:, None], sizes, axis=0))
         return g
 
 
-def _log_odds(own: np.ndarray, other: np.ndarray, n_own: int, n_other: int) -> np.ndarray:
-    """Clipped log odds of occurring in toxic against other texts."""
-    return np.clip(np.log((own + 0.5) / (n_own + 1)) - np.log((other + 0.5) / (n_other + 1)), -3, 3).astype(np.float32)
+def _evidence(own: np.ndarray, other: np.ndarray, n_own: int, n_other: int) -> np.ndarray:
+    """Signed root of the likelihood ratio for occurring more (or less) in toxic than in other texts, from 0 to 3.
+
+    What chance gives (a root of 3 among thousands of words) counts as 0.
+    """
+    n, k = n_own + n_other, own + other
+    part = lambda x, size: x * np.log(np.maximum(x, 1e-9) * n / np.maximum(k * size, 1e-9))
+    ratio = part(own, n_own) + part(other, n_other) + part(n_own - own, n_own) + part(n_other - other, n_other)
+    ratio -= np.where(k < n, (n - k) * np.log(np.maximum(n - k, 1e-9) / np.maximum(k, 1e-9)), 0)
+    root = np.sqrt(np.maximum(2 * ratio, 0)) * np.sign(own * n_other - other * n_own)
+    return np.clip(np.sign(root) * np.maximum(np.abs(root) - 3, 0), -3, 3).astype(np.float32)
+
+
+def _families(flat: np.ndarray, starts: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """Number of the family of each text: texts whose words have the same two least hashes are copies of one another."""
+    sizes = np.diff(starts)
+    seeds = np.array([zlib.crc32(w) for w in words], np.uint64)
+    keys = np.zeros((len(sizes), 2), np.uint64)
+    for k, factor in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
+        mixed = (seeds * np.uint64(factor)) >> np.uint64(16)
+        some = np.flatnonzero(sizes)
+        if len(some):
+            keys[some, k] = np.minimum.reduceat(mixed[flat], starts[:-1][some])
+    return np.unique(keys, axis=0, return_inverse=True)[1].ravel()
 
 
 def fit(texts: list, labels: list[int], seed: int = 7) -> Network | None:
@@ -222,21 +242,24 @@ def fit(texts: list, labels: list[int], seed: int = 7) -> Network | None:
         return None
     rng = np.random.default_rng(seed)
     words, flat, starts = coded = split_coded(texts, ALNUM)
-    owner = np.repeat(np.arange(len(texts)), np.diff(starts))
-    pairs = np.unique(owner * np.int64(max(1, len(words))) + flat)
-    pairs, toxic_pair = pairs % max(1, len(words)), label[pairs // max(1, len(words))] > 0
-    both = np.stack([np.bincount(pairs[toxic_pair == k], minlength=len(words)) for k in (False, True)], 1)
-    seen: dict[bytes, list[int]] = dict(zip(words, both.tolist(), strict=True))
-    frequent = sorted((w for w, n in seen.items() if sum(n) >= 3), key=lambda w: (-sum(seen[w]), w))[:VOCABULARY]
-    net = Network(frequent, rng)
-    toxic, other = int(label.sum()), int(len(label) - label.sum())
-    if frequent:  # vectors begin with the odds of their word or trigram, so the first passes already pick telling windows
-        counts = np.array([seen[w] for w in frequent])
-        net.w["word"][1:, 0] = _log_odds(counts[:, 1], counts[:, 0], toxic, other)
-    if seen:
-        grams, _, sizes = _chars(words)
-        counts = np.stack([np.bincount(grams, np.repeat([seen[w][k] for w in words], sizes), CHAR_BUCKETS) for k in (0, 1)])
-        net.w["char"][:, 0] = _log_odds(counts[1], counts[0], counts[1].sum(), counts[0].sum())
+    family = _families(flat, starts, words)
+    toxic, other = len(np.unique(family[label > 0])), len(np.unique(family[label == 0]))
+    width = max(1, len(words))
+    grams, sizes = _chars(words)
+    first_gram = np.cumsum(sizes) - sizes
+    seen, chars = [], []
+    for k in (0, 1):  # families that have each word and each run of characters, among the texts of each label
+        own = np.repeat(label == k, np.diff(starts))
+        pairs = np.unique(np.repeat(family, np.diff(starts))[own] * np.int64(width) + flat[own])
+        seen.append(np.bincount(pairs % width, minlength=width))
+        held = grams[ranges(first_gram[pairs % width], sizes[pairs % width])] if len(pairs) else grams[:0]
+        held = np.unique(np.repeat(pairs // width, sizes[pairs % width]) * np.int64(CHAR_BUCKETS) + held)
+        chars.append(np.bincount(held % CHAR_BUCKETS, minlength=CHAR_BUCKETS))
+    often = np.flatnonzero(seen[0] + seen[1] >= 3)
+    often = often[np.lexsort((often, -(seen[0] + seen[1])[often]))][:VOCABULARY] if words else often[:0]
+    net = Network([words[k] for k in often], rng)
+    net.word[1:, 0] = _evidence(seen[1][often], seen[0][often], toxic, other)
+    net.char[:] = _evidence(chars[1], chars[0], toxic, other)
     first_moment = {k: np.zeros_like(v) for k, v in net.w.items()}
     second_moment = {k: np.zeros_like(v) for k, v in net.w.items()}
     step = 0
@@ -245,7 +268,8 @@ def fit(texts: list, labels: list[int], seed: int = 7) -> Network | None:
         order = np.lexsort((logits, text))
         top = order[np.append(text[order][1:] != text[order][:-1], True)]  # highest window of each text
         codes = np.append(flat, len(words))
-        for own in [x for _ in range(PASSES) for x in np.array_split(rng.permutation(top), -(-len(top) // BATCH))]:
+        for _ in range(STEPS):  # a text is drawn once a step at most
+            own = rng.choice(top, min(BATCH, len(top)), replace=False)
             at, mask = net._at(codes, first[own], size[own], len(words))
             step += 1
             for k, grad in net.gradients(words, at, mask, label[text[own]]).items():
