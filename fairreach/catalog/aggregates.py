@@ -183,10 +183,3 @@ def _(t: Tables):
 @query("page_scan", "SELECT trip_id, oa_id, poi_id FROM fx_trips ORDER BY trip_id LIMIT 250 OFFSET 500")
 def _(t: Tables):
     return numbering.page(t.fx_trips().select("trip_id", "oa_id", "poi_id"), "trip_id", 250, 500)
-
-
-@query("regex_extract_all", "SELECT 'sum_' || name AS name FROM (SELECT unnest(['journey_time', 'walking_distance', 'fare', 'generalised_cost']) AS name) WHERE (SELECT count(*) FROM lineitem) > 0")
-def _(t: Tables):
-    fx = t.fx_cube()
-    names = F.explode(F.array([F.lit(n) for n in cube.metric_names(fx)]))
-    return fx.agg(F.count("*").alias("n")).where("n > 0").select(names.alias("name"))

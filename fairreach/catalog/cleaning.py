@@ -304,7 +304,7 @@ def _(t):
     return t.fx_long()
 
 
-@query("unnest_parallel", "SELECT vec_id, unnest(embedding[1:5]) AS a, unnest(embedding[6:10]) AS b FROM embeddings")
+@query("unnest_parallel", "SELECT vec_id, unnest(embedding[1:32]) AS a, unnest(embedding[33:64]) AS b FROM embeddings")
 def _(t):
-    parts = t.embeddings.select("vec_id", F.slice("embedding", 1, 5).alias("a"), F.slice("embedding", 6, 5).alias("b"))
+    parts = t.embeddings.select("vec_id", F.slice("embedding", 1, 32).alias("a"), F.slice("embedding", 33, 32).alias("b"))
     return reshape.zip_explode(parts, ["a", "b"])

@@ -137,12 +137,10 @@ class Tables:
         return self.fx_trips().select("oa_id", "poi_id").distinct().join(poi, "poi_id").select("oa_id", "poi_id", "poi_type")
 
     def fx_stamps(self) -> DataFrame:
-        """The first two minutes of trips per stratum."""
-        from pyspark.sql import Window
-
-        order = Window.partitionBy("stratum").orderBy("date", "time")
-        times = self.fx_trips().join(self.fx_strata(), "trip_id").select("stratum", "date", "time").distinct()
-        return times.withColumn("_at", F.row_number().over(order)).where("_at <= 2").drop("_at")
+        """The years in which each stratum has trips, as timestamps of their first morning."""
+        trips = self.fx_trips().join(self.fx_strata(), "trip_id")
+        first = F.concat(F.substring("date", 1, 4), F.lit("-01-01")).alias("date")
+        return trips.select("stratum", first, F.lit("08:00:00").alias("time")).distinct()
 
     def fx_long(self) -> DataFrame:
         from fairreach.operators.reshape import to_long
@@ -210,8 +208,8 @@ FIXTURE_SQL = {
     "fx_tri": """SELECT poly_id, cx - h AS x1, cy - h AS y1, cx + h AS x2, cy - h / 2 AS y2, cx AS x3, cy + h AS y3
         FROM fx_tri0""",
     "fx_k_poi": """SELECT DISTINCT t.oa_id, t.poi_id, p.type AS poi_type FROM fx_trips t JOIN fx_poi p ON t.poi_id = p.poi_id""",
-    "fx_stamps": """SELECT stratum, date, time FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY date, time) AS n
-        FROM (SELECT DISTINCT stratum, date, time FROM fx_trips JOIN fx_strata USING (trip_id))) WHERE n <= 2""",
+    "fx_stamps": """SELECT DISTINCT stratum, date[1:4] || '-01-01' AS date, '08:00:00' AS time
+        FROM fx_trips JOIN fx_strata USING (trip_id)""",
     "fx_long": """SELECT trip_id, 'total_time' AS metric, total_time AS value FROM fx_results
         UNION ALL SELECT trip_id, 'walk_dist', walk_dist FROM fx_results
         UNION ALL SELECT trip_id, 'transit_time', transit_time FROM fx_results""",

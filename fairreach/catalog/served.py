@@ -22,16 +22,6 @@ def _humanised(col: str) -> str:
     return f"CASE WHEN contains({col}, '_') OR {col}[1] <> upper({col}[1]) THEN array_to_string({_WORDS.format(col)}, ' ') ELSE {col} END"
 
 
-@query(
-    "q_meta_access_metric",
-    f"SELECT name AS key, {_humanised('name')} AS value FROM (SELECT unnest(['journey_time', 'walking_distance', 'fare', 'generalised_cost']) AS name) WHERE (SELECT count(*) FROM lineitem) > 0",
-)
-def _(t: Tables):
-    fx = t.fx_cube()
-    cells = fx.agg(F.count("*")).scalar()
-    return serving.meta_access_metrics(fx).where(cells > 0)
-
-
 @query("q_meta_strata", f"SELECT DISTINCT stratum AS key, {_humanised('stratum')} AS value FROM fx_cube")
 def _(t: Tables):
     return serving.meta_strata(t.fx_cube())

@@ -24,16 +24,22 @@ def geocode(pois: DataFrame, centroids: DataFrame, key: str) -> DataFrame:
 
 
 def entity(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Full join of tables that are each unique on ``keys``, in one shuffle.
+    """Full join of tables that are each unique on ``keys``, in one shuffle; a key twice in one table raises.
 
     A chain of full joins shuffles at every step. Stacking the tables and taking the one value per
     key and column gives the same rows. NULL keys match nothing in a join, so rows with one are
     passed through unmerged.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames.values())
+    tagged = [df.withColumn("_table", F.lit(name)) for name, df in frames.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    values = [c for c in stacked.columns if c not in keys]
-    merged = stacked.where(complete).groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in values])
+    values = [c for c in stacked.columns if c not in (*keys, "_table")]
+    # a unique key has as many rows as tables: both are counted in the aggregate that merges
+    rows, tables = F.count("*").alias("_rows"), F.size(F.collect_set("_table")).alias("_tables")
+    merged = stacked.where(complete).groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in values], rows, tables)
+    message = F.concat(F.lit(f"key {list(keys)} is repeated in one of {list(frames)}: "), F.to_json(F.struct(*keys)))
+    unique = F.when(F.col("_rows") > F.col("_tables"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    merged = merged.where(unique).drop("_rows", "_tables")
     return merged.unionByName(stacked.where(~complete).select(*merged.columns))
 
 

@@ -116,34 +116,52 @@ def enrich(
     workers: int | None = None,
     endpoints: Sequence[str] = (),
 ) -> DataFrame:
-    """Add the columns of ``schema`` and ``ok`` to every trip by a user function over Arrow batches.
+    """Add the columns of ``schema``, ``ok`` and ``error`` to every trip by a user function over Arrow batches.
 
     ``fn(batch, endpoint)`` returns a frame indexed like the batch; rows it leaves out are failed
     trips. When it raises, the batch is tried again row by row, so that one bad trip loses only
-    itself. Endpoints are shared out by partition. Lost tasks are run again, so ``fn`` must bear
+    itself and keeps the reason in ``error``. A function that raises for each of several rows, or whose answer lacks a
+    declared column, is wrong as a whole: that fails the job. Endpoints are shared out by partition. Lost tasks are run again, so ``fn`` must bear
     being asked twice for the same trip.
     """
     added = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     names = added.fieldNames()
     addresses = list(endpoints)
 
-    def ask(batch: pd.DataFrame, endpoint: str | None) -> pd.DataFrame:
+    def checked(answer: pd.DataFrame) -> pd.DataFrame:
+        missing = [n for n in names if n not in answer.columns]
+        if missing:
+            raise KeyError(f"the function's answer lacks {missing}")
+        return answer[names]
+
+    def ask(batch: pd.DataFrame, endpoint: str | None) -> tuple[pd.DataFrame, dict]:
+        """The answers, and the error of each row that raised."""
         try:
-            return fn(batch, endpoint)[names]
-        except Exception:
-            if len(batch) == 1:
-                return pd.DataFrame(columns=names, index=batch.index[:0])
-            return pd.concat([ask(batch.iloc[[i]], endpoint) for i in range(len(batch))])
+            return checked(fn(batch, endpoint)), {}
+        except KeyError:
+            raise
+        except Exception as all_rows:
+            answers, errors = [], {}
+            for i in range(len(batch)):
+                row = batch.iloc[[i]]
+                try:
+                    answers.append(checked(fn(row, endpoint)))
+                except Exception as one:
+                    errors[row.index[0]] = f"{type(one).__name__}: {one}"
+            if len(errors) == len(batch) > 1:
+                raise RuntimeError("the function fails for every trip of a batch") from all_rows
+            return pd.concat(answers) if answers else pd.DataFrame(columns=names, index=batch.index[:0]), errors
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
         endpoint = addresses[part % len(addresses)] if addresses else None
         for batch in batches:
-            answers = ask(batch, endpoint)
+            answers, errors = ask(batch, endpoint)
             out = batch.join(answers)
             out["ok"] = batch.index.isin(answers.index)
+            out["error"] = [errors.get(k) for k in batch.index]
             yield out
 
-    out_schema = T.StructType([*trips.schema.fields, *added.fields, T.StructField("ok", T.BooleanType())])
+    out_schema = T.StructType([*trips.schema.fields, *added.fields, T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType())])
     spread = trips.repartition(workers) if workers else trips
     return spread.mapInPandas(run, out_schema)

@@ -1,4 +1,9 @@
-"""Discrete medians, also of groups too large for one task."""
+"""Discrete medians from counted values.
+
+Rows are first counted by group and value, with map-side combine: equal values, however many, reach a
+task as one row a partition. The median is then read off the running count, one window over the distinct values
+of a group. Medians over all strata add up the same counts, so both grouping sets come from one pass over the input.
+"""
 
 from __future__ import annotations
 
@@ -7,90 +12,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairreach.operators.numbering import number_rows
-from fairreach.session import checkpoint_root
-
 ALL_TIMES = "All times"
-# groups above this many rows are split over tasks; at most rows/limit groups can be that large
-HOT_ROWS = 1_000_000
-# large groups are broadcast by key up to this number of them and joined by a shuffle beyond
-_BROADCAST_GROUPS = 100_000
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+def _counted(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
 
 
-def _if_few(df: DataFrame, groups: int) -> DataFrame:
-    return F.broadcast(df) if groups <= _BROADCAST_GROUPS else df
+def _middle(counted: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The value at the lower middle of each group; NULL where a group has no other."""
+    group = Window.partitionBy(*keys)
+    known = F.when(F.col(value).isNotNull(), F.col("_n"))
+    middle = F.greatest(F.ceil(F.coalesce(F.sum(known).over(group), F.lit(0)) / 2), F.lit(1))
+    upto = F.sum("_n").over(group.orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.withColumns({"_middle": middle, "_upto": upto})
+    return placed.where((F.col("_upto") >= F.col("_middle")) & (F.col("_upto") - F.col("_n") < F.col("_middle"))).select(*keys, value)
 
 
-def _split_medians(df: DataFrame, hot: DataFrame, groups: int, keys: Sequence[str], value: str) -> DataFrame:
-    """Medians by position in one global order, so a group may span any number of tasks."""
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    placed = number_rows(rows, [*keys, value], "_at")
-    middle = placed.groupBy(*keys).agg((F.min("_at") + F.ceil(F.count("*") / 2) - 1).alias("_at")).select("_at")
-    # one position per hot group
-    found = placed.join(_if_few(middle, groups), "_at").select(*[F.col(k).alias(f"_{k}") for k in keys], value)
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    # a group of NULL values only has no position and keeps a NULL median
-    return hot.join(found, cond, "left").select(*keys, value)
+def median_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The lower of the two middle values per group, NULLs ignored."""
+    return _middle(_counted(df, keys, value), keys, value)
 
 
-def _task_medians(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Medians of groups that fit in a task: one shuffle and one sort."""
-    group = Window.partitionBy(*keys)
-    middle = F.greatest(F.ceil(F.count(value).over(group) / 2), F.lit(1))
-    placed = rows.withColumns(
-        {"_middle": middle, "_at": F.row_number().over(group.orderBy(F.col(value).asc_nulls_last()))}
-    )
-    return placed.where(F.col("_at") == F.col("_middle")).select(*keys, value)
-
-
-def _hot_groups(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Groups above ``hot_rows``, or None when there are none."""
-    # a group is no larger than all rows sharing its first key, which take little to count
-    largest = rows.groupBy(keys[0]).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
-    if (largest or 0) <= hot_rows:
-        return None
-    checkpoint_root(rows.sparkSession)
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_rows).drop("_n").checkpoint()
-    return None if hot.isEmpty() else hot
-
-
-def median_by(df: DataFrame, keys: Sequence[str], value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The lower of the two middle values per group, NULLs ignored."""
-    rows = df.select(*keys, value)
-    hot = _hot_groups(rows, keys, hot_rows)
-    if hot is None:
-        return _task_medians(rows, keys, value)
-    groups = hot.count()
-    few = _if_few(hot, groups)
-    usual = rows.join(few, _same(rows, hot, keys), "left_anti")
-    large = rows.join(few, _same(rows, hot, keys), "left_semi")
-    return _task_medians(usual, keys, value).unionByName(_split_medians(large, hot, groups, keys, value))
-
-
-def median_with_all(
-    df: DataFrame, keys: Sequence[str], stratum: str, value: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def median_with_all(df: DataFrame, keys: Sequence[str], stratum: str, value: str) -> DataFrame:
     """Medians per stratum plus the median over all rows, labelled ``All times``."""
     others = [k for k in keys if k != stratum]
-    rows = df.select(*others, stratum, value)
-    if _hot_groups(rows, others, hot_rows) is None:
-        # a group over all strata holds its groups per stratum, so none of those is too large either
-        # placed by the coarser keys, which also serve the finer ones: both medians read one shuffle
-        rows = rows.repartition(*others)
-        per_stratum, overall = (_task_medians(rows, k, value) for k in ([*others, stratum], others))
-    else:
-        per_stratum, overall = (median_by(rows, k, value, hot_rows) for k in ([*others, stratum], others))
-    return per_stratum.unionByName(overall.withColumn(stratum, F.lit(ALL_TIMES)))
+    counted = _counted(df, [*others, stratum], value)
+    overall = counted.groupBy(*others, value).agg(F.sum("_n").alias("_n"))
+    per_stratum = _middle(counted, [*others, stratum], value)
+    return per_stratum.unionByName(_middle(overall, others, value).withColumn(stratum, F.lit(ALL_TIMES)))
 
 
 def best_poi(medians: DataFrame, keys: Sequence[str] = ("oa_id", "poi_type", "stratum", "metric")) -> DataFrame:

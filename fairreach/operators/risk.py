@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairreach.operators.cube import access_metric, population_density
-from fairreach.operators.numbering import number_rows, top_half
+from fairreach.operators.numbering import top_half
 
 
 def at_risk(
@@ -34,10 +34,9 @@ def at_risk_topk(cube: DataFrame, pop: DataFrame, limit: int) -> DataFrame:
     Areas without trips keep a NULL score.
     """
     heads = population_density(pop).withColumnRenamed("metric", "heads")
-    placed = number_rows(heads, [F.col("heads").desc(), F.col("oa_id")], "place")
+    busiest = heads.orderBy(F.col("heads").desc(), "oa_id").limit(limit)
     cost = access_metric(cube).withColumnRenamed("metric", "cost")
     return (
-        placed.where(F.col("place") <= limit)
-        .join(cost, "oa_id", "left")
+        busiest.join(cost, "oa_id", "left")
         .select("oa_id", F.try_divide("cost", "heads").alias("at_risk_score"))
     )

@@ -149,3 +149,25 @@ def test_points_in_polygons_of_all_sizes(spark):
         (x0, y0), _, (x1, y1), _ = shape[0][0]
         want |= {(i, j) for i, x, y in pts if x0 < x < x1 and y0 < y < y1}
     assert got == want
+
+
+def _candidates(spark, targets, searches):
+    from fairreach.operators import nearest
+
+    boxes = nearest._point_boxes([F.col("x"), F.col("y")])
+    found = nearest._open_cells(
+        searches.select(F.col("id").alias("_search"), F.lit(1).alias("_group"), F.lit(3).alias("_k"), F.col("x").alias("_q0"), F.col("y").alias("_q1")),
+        targets.select(F.lit(1).alias("_group"), "id").withColumns({}).join(targets, "id").select("_group", "id", *[c.alias(n) for n, c in boxes.items()]),
+        2,
+        0.0,
+    )
+    return found.count()
+
+
+def test_outliers_and_towns_open_few_cells(spark):
+    even = spark.range(4096).select("id", (F.col("id") % 64).cast("double").alias("x"), F.floor(F.col("id") / 64).cast("double").alias("y"))
+    searches = spark.range(500).select("id", (F.col("id") % 25 * 2.5).alias("x"), (F.floor(F.col("id") / 25) * 3.1).alias("y"))
+    far = spark.createDataFrame([(9999, 1e7, 1e7)], "id long, x double, y double")
+    town = spark.range(10000, 12000).select("id", (30 + F.col("id") % 45 / 1e4).alias("x"), (30 + F.floor((F.col("id") - 10000) / 45) / 1e4).alias("y"))
+    assert _candidates(spark, even.union(far), searches) < 500 * 40
+    assert _candidates(spark, even.union(town), searches) < 500 * 80

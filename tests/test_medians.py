@@ -22,21 +22,26 @@ def sample():
     return [*rows, ("nulls", "x", None), ("nulls", "x", None), ("one", "x", 4.0)]
 
 
-def test_split_and_usual_groups_agree(spark):
+def test_medians_equal_sorted_lists(spark):
     rows = sample()
     df = spark.createDataFrame(rows, "k string, s string, v double")
-    for hot in (1, 60, 10**6):
-        got = {(r["k"], r["s"]): r["v"] for r in medians.median_by(df, ["k", "s"], "v", hot_rows=hot).collect()}
-        assert got == plain(rows), hot
+    got = {(r["k"], r["s"]): r["v"] for r in medians.median_by(df, ["k", "s"], "v").collect()}
+    assert got == plain(rows)
+
+
+def test_a_value_most_rows_share_reaches_the_median_as_counts(spark):
+    df = spark.range(200_000, numPartitions=8).select(F.lit("a").alias("k"), F.when(F.col("id") % 10 > 0, 2.4).otherwise(F.col("id") % 1000 / 10).alias("v"))
+    counted = medians._counted(df, ["k"], "v")
+    assert counted.count() == 100 and counted.agg(F.sum("_n")).scalar() == 200_000
+    assert medians.median_by(df, ["k"], "v").first()["v"] == 2.4
 
 
 def test_all_times_is_a_median_of_values(spark):
     rows = sample()
     df = spark.createDataFrame(rows, "k string, s string, v double")
     want = plain(rows) | {(k, medians.ALL_TIMES): v for (k, _), v in plain([(k, None, v) for k, _, v in rows]).items()}
-    for hot in (5, 10**6):
-        got = {(r["k"], r["s"]): r["v"] for r in medians.median_with_all(df, ["k", "s"], "s", "v", hot_rows=hot).collect()}
-        assert got == want
+    got = {(r["k"], r["s"]): r["v"] for r in medians.median_with_all(df, ["k", "s"], "s", "v").collect()}
+    assert got == want
 
 
 def test_scale(spark):

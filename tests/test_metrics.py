@@ -82,3 +82,24 @@ def test_at_risk_skips_empty_groups(spark):
     assert got == {"x": 2.0, "y": 5.0}
     top = {r["oa_id"]: r["at_risk_score"] for r in risk.at_risk_topk(cells.where("oa_id <> 'x'"), pop, 2).collect()}
     assert top == {"w": 0.25, "x": None}
+
+
+def test_metric_names_come_from_the_columns(spark):
+    from fairreach.operators.cube import metric_names
+    from fairreach.plans.serving import meta_access_metrics
+
+    cube = spark.createDataFrame([(1, 2.0, 4.0, 3.0)], "num_trips long, sum_journey_time double, sum_of_squared_journey_time double, sum_fare double")
+    assert metric_names(cube) == ["sum_journey_time", "sum_fare"]
+    assert meta_access_metrics(cube).count() == 2
+
+
+def test_entity_refuses_repeated_keys(spark):
+    import pytest
+
+    from fairreach.operators.combine import entity
+
+    a = spark.createDataFrame([(1, 2), (1, 3)], "k long, a long")
+    b = spark.createDataFrame([(1, 5), (2, 6)], "k long, b long")
+    with pytest.raises(Exception, match="is repeated in one of"):
+        entity({"a": a, "b": b}, ["k"]).collect()
+    assert sorted(map(tuple, entity({"a": a.where("a = 2"), "b": b}, ["k"]).collect()), key=str) == [(1, 2, 5), (2, None, 6)]
