@@ -23,7 +23,7 @@ from fairreach.llm.common import table
 from fairreach.llm.registry import query
 
 #: Rows and queries that a cell holds, about.
-SHARD_ROWS, BLOCK_QUERIES = 1 << 16, 1 << 14
+SHARD_ROWS, BLOCK_QUERIES = 1 << 13, 1 << 14
 SEGMENTS, WIDTH = 4, 16
 
 
@@ -92,8 +92,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """
     rows = rows.select("vec_id", "code").dropna().distinct()
     queries = queries.select("vec_id", "code").dropna().distinct()
-    spark = rows.sparkSession
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // SHARD_ROWS))
+    # by the rows alone: each further shard adds k candidates a query
+    shards = max(1, -(-rows.count() // SHARD_ROWS))
     blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
     number = lambda n: F.array([F.lit(0)]) if n == 1 else F.sequence(F.lit(0), F.lit(n - 1))
     data = rows.select("*", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), F.explode(number(blocks)).alias("block"))
