@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from fairreach.catalog.fixtures import K_BY_TYPE, Tables
@@ -137,7 +139,41 @@ def _(t: Tables):
     return t.lineitem.select("l_orderkey", "l_partkey", F.round(at["x"], 9).alias("lon"), F.round(at["y"], 9).alias("lat"))
 
 
-@query("geo_reproject_grid")
+def grid_sql(source: str, rounds: int = 7) -> str:
+    """National grid to degrees as chained subqueries, ending in ``grid(id, lon, lat)``.
+
+    ``source`` yields id, e, n. The latitude after the datum shift is found by iteration, other than in the operator.
+    """
+    num = lambda x: f"({x:.17e})"  # noqa: E731  an exponent makes it a double
+    a, b = geo.AIRY_A * geo.GRID_F0, geo.AIRY_B * geo.GRID_F0
+    m, e2 = (a - b) / (a + b), 1 - (geo.AIRY_B / geo.AIRY_A) ** 2
+    origin = math.radians(geo.GRID_LAT0)
+    terms = [1 + m + 1.25 * (m**2 + m**3), 3 * m + 3 * m**2 + 2.625 * m**3, 1.875 * (m**2 + m**3), 35 / 24 * m**3]
+    waves = [math.sin(k * origin) * math.cos(k * origin) for k in (1, 2, 3)]
+    arc = b * (terms[0] * origin - terms[1] * waves[0] + terms[2] * waves[1] - terms[3] * waves[2])
+    mean = a / (1 + m) * (1 + m**2 / 4 + m**4 / 64)
+    series = [1.5 * m - 27 / 32 * m**3, 21 / 16 * m**2 - 55 / 32 * m**4, 151 / 96 * m**3, 1097 / 512 * m**4]
+    foot = " + ".join(f"{num(c)} * sin({2 * k} * mu)" for k, c in enumerate(series, 1))
+    out = f"""p0 AS (SELECT id, e - {num(geo.GRID_E0)} AS d, (n - {num(geo.GRID_N0)} + {num(arc)}) / {num(mean)} AS mu FROM ({source})),
+        foot AS (SELECT id, d, mu + {foot} AS p FROM p0)"""
+    out += f""", nu AS (SELECT id, p, d / ({num(a)} / sqrt(1 - {num(e2)} * sin(p) ** 2)) AS r, (1 - {num(e2)} * sin(p) ** 2) / (1 - {num(e2)}) AS q, tan(p) ** 2 AS t FROM foot),
+        airy AS (SELECT id, p - tan(p) * q * (r ** 2 / 2 - r ** 4 / 24 * (5 + 3 * t + (q - 1) - 9 * t * (q - 1)) + r ** 6 / 720 * (61 + 90 * t + 45 * t ** 2)) AS f,
+        {num(math.radians(geo.GRID_LON0))} + (r - r ** 3 / 6 * (q + 2 * t) + r ** 5 / 120 * (5 + 28 * t + 24 * t ** 2) - r ** 7 / 5040 * (61 + 662 * t + 1320 * t ** 2 + 720 * t ** 3)) / cos(p) AS l FROM nu),
+        old AS (SELECT id, v * cos(f) * cos(l) AS x, v * cos(f) * sin(l) AS y, v * {num(1 - e2)} * sin(f) AS z FROM (SELECT *, {num(geo.AIRY_A)} / sqrt(1 - {num(e2)} * sin(f) ** 2) AS v FROM airy))"""
+    rx, ry, rz = (num(math.radians(s / 3600)) for s in geo.SHIFT_SECONDS)
+    tx, ty, tz = (num(v) for v in geo.SHIFT_METRES)
+    s, w2 = num(1 + geo.SHIFT_PPM * 1e-6), num(geo.WGS84_F * (2 - geo.WGS84_F))
+    out += f""", new AS (SELECT id, {tx} + {s} * x - {rz} * y + {ry} * z AS x, {ty} + {rz} * x + {s} * y - {rx} * z AS y, {tz} - {ry} * x + {rx} * y + {s} * z AS z FROM old),
+        b0 AS (SELECT id, z, atan2(y, x) AS l, sqrt(x * x + y * y) AS h, atan2(z, sqrt(x * x + y * y) * (1 - {w2})) AS f FROM new)"""
+    for k in range(rounds):
+        out += f", b{k + 1} AS (SELECT id, z, l, h, atan2(z + {w2} * {num(geo.WGS84_A)} / sqrt(1 - {w2} * sin(f) ** 2) * sin(f), h) AS f FROM b{k})"
+    return out + f", grid AS (SELECT id, degrees(l) AS lon, degrees(f) AS lat FROM b{rounds})"
+
+
+_GRID_ORDERS = grid_sql("SELECT o_orderkey AS id, 380000 + o_orderkey * 7919 % 60000 AS e, 270000 + o_orderkey * 104729 % 40000 AS n FROM orders")
+
+
+@query("geo_reproject_grid", f"WITH {_GRID_ORDERS} SELECT id AS o_orderkey, round(lon, 7) AS lon, round(lat, 7) AS lat FROM grid")
 def _(t: Tables):
     """National grid coordinates spread over the county from the order table; unit tests check the values."""
     east = F.lit(380000) + F.col("o_orderkey") * 7919 % 60000

@@ -81,11 +81,14 @@ def _(t: Tables):
     return _rounded(cells, "oa_id", "poi_type", "stratum")
 
 
-@query("json_row")
+@query(
+    "json_row",
+    """SELECT '{"oa_id":' || oa_id || ',"rank":' || row_number() OVER (ORDER BY metric, oa_id) || '}' AS json FROM
+       (SELECT oa_id, sum(sum_walking_distance) / sum(num_trips) AS metric FROM fx_cube GROUP BY 1)""",
+)
 def _(t: Tables):
-    """Ranked areas as JSON text; key order is not fixed in SQL, so only the rows are compared."""
-    ranked = add_rank(access_metric(t.fx_cube(), "fare"), "metric", "oa_id")
-    return serving.as_json(ranked, ["oa_id", "metric", "rank"])
+    """Ranked areas as JSON text."""
+    return serving.as_json(add_rank(access_metric(t.fx_cube(), "walking_distance"), "metric", "oa_id"), ["oa_id", "rank"])
 
 
 def reply_router(batch: pd.DataFrame, endpoint: str | None) -> pd.DataFrame:

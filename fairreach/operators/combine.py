@@ -48,6 +48,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
+def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
+    """Raise if a key of the table ``name`` occurs more than once, showing some of them."""
+    repeated = duplicate_keys(df, keys).select(*keys).take(5)
+    if repeated:
+        raise ValueError(f"{name} has repeated keys {list(keys)}: {[tuple(r) for r in repeated]}")
+
+
 def missing_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Distinct child keys without a parent; empty when the reference holds."""
     known = parent.select(F.col(parent_key or key).alias(key))
