@@ -39,6 +39,12 @@ HEADLINE = [
     "enrich_partitions",
     "str_squeeze",
     "agg_dedupe_group",
+    "q_etl",
+    "q_access_query",
+    "join_cross",
+    "agg_rollup_alltimes",
+    "gen_trips",
+    "cost_trips_results",
 ]
 
 

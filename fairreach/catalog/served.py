@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from fairreach.catalog.aggregates import AT_RISK, DEMOGRAPHIC, HIGH_LEVEL, SELECTED, STRATA, TYPES, _ROUNDED_SQL, _rounded
 from fairreach.catalog.cleaning import _WORDS
-from fairreach.catalog.fixtures import Tables
+from fairreach.catalog.fixtures import METRIC_COLUMNS, Tables
 from fairreach.catalog.registry import query
 from fairreach.catalog.shaping import _NEAR
 from fairreach.operators.numbering import add_rank
 from fairreach.operators.cube import access_metric
 from fairreach.plans import serving
 from fairreach.plans.adhoc import AccessQuery, access_query
+from fairreach.plans.costing import cost_trips
+from fairreach.session import scratch_path
 
 
 def _humanised(col: str) -> str:
@@ -77,10 +79,43 @@ def _(t: Tables):
 
 @query("q_results_summary", f"SELECT oa_id, poi_type, stratum, num_trips, {_ROUNDED_SQL} FROM fx_cube")
 def _(t: Tables):
-    cells = serving.results_summary(t.fx_results(), t.fx_trips(), t.fx_poi(), t.fx_strata())
+    """The cube as stored and read back."""
+    path = scratch_path(t.spark, "summary")
+    cells = serving.refresh_cube(t.fx_results(), t.fx_trips(), t.fx_poi(), t.fx_strata(), path)
     return _rounded(cells, "oa_id", "poi_type", "stratum")
 
 
+_OVERLAP = """times AS (SELECT DISTINCT date, time, stratum FROM fx_trips JOIN fx_strata USING (trip_id)
+    UNION ALL SELECT DISTINCT date, time, 'Morning' FROM fx_trips WHERE time < '12:00'),
+    f AS (SELECT l.metric, l.value, m.oa_id, m.poi_id, k.poi_type, s.stratum FROM fx_long l JOIN fx_trips m ON l.trip_id = m.trip_id
+    JOIN times s ON m.date = s.date AND m.time = s.time JOIN fx_k_poi k ON m.oa_id = k.oa_id AND m.poi_id = k.poi_id),
+    d AS (SELECT oa_id, poi_id, poi_type, stratum, metric, quantile_disc(value, 0.5) AS value FROM f GROUP BY ALL
+    UNION ALL SELECT oa_id, poi_id, poi_type, 'All times', metric, quantile_disc(value, 0.5) FROM f GROUP BY oa_id, poi_id, poi_type, metric),
+    best AS (SELECT oa_id, poi_type, stratum, metric, CASE WHEN metric = 'walk_dist' THEN min(value) ELSE min(value) / 60 END AS value
+    FROM d GROUP BY oa_id, poi_type, stratum, metric)"""
+
+
+def _overlapping(t: Tables):
+    """The times of all trips under their stratum, and those before noon under a second one."""
+    trips = t.fx_trips()
+    own = trips.join(t.fx_strata(), "trip_id").select("date", "time", "stratum").distinct()
+    return own.unionByName(trips.where("time < '12:00'").select("date", "time", F.lit("Morning").alias("stratum")).distinct())
+
+
+@query("q_vis_map_results", f"WITH {_OVERLAP} SELECT oa_id, poi_type, stratum, metric, value FROM best")
+def _(t: Tables):
+    return serving.map_from_results(
+        t.fx_results(), t.fx_trips(), _overlapping(t), t.fx_k_poi(), METRIC_COLUMNS, ["total_time", "transit_time"]
+    )
+
+
+@query("q_vis_map_centroids", f"WITH {_OVERLAP} SELECT oa_id, poi_type, stratum, metric, value, lat, lon FROM best JOIN fx_oa USING (oa_id)")
+def _(t: Tables):
+    return serving.map_from_results(
+        t.fx_results(), t.fx_trips(), _overlapping(t), t.fx_k_poi(), METRIC_COLUMNS, ["total_time", "transit_time"], t.fx_oa()
+    )
+
+
 @query(
     "json_row",
     """SELECT '{"oa_id":' || oa_id || ',"rank":' || row_number() OVER (ORDER BY metric, oa_id) || '}' AS json FROM
@@ -119,3 +154,57 @@ def _(t: Tables):
     return scores.select(
         "oa_id", "poi_type", F.round("total_cost", 4).alias("total_cost"), F.round("mean_cost", 5).alias("mean_cost")
     )
+
+
+def patchy_router(batch: pd.DataFrame, endpoint: str | None) -> pd.DataFrame:
+    """The stand-in router with gaps: no answer for every seventh trip, no path for every eleventh."""
+    found = reply_router(batch[batch["trip_id"] % 7 != 0], endpoint)
+    none = batch.loc[found.index, "trip_id"] % 11 == 0
+    found.loc[none, "reply"] = "<response><error><msg>none</msg><message>PATH_NOT_FOUND</message></error><plan/></response>"
+    return found
+
+
+_COSTED = """asked AS (SELECT t.*, CAST(trunc(((o.lat - p.lat) ** 2 + (o.lon - p.lon) ** 2) ** 0.5 * 100000) AS BIGINT) AS s
+    FROM fx_trips t JOIN fx_oa o ON t.oa_id = o.oa_id JOIN fx_poi p ON t.poi_id = p.poi_id WHERE t.computed = 0)"""
+
+
+def _costed(t: Tables):
+    return cost_trips(t.fx_trips(), t.fx_oa(), t.fx_poi(), patchy_router, endpoints=["a", "b"])
+
+
+@query(
+    "cost_trips_results",
+    f"""WITH {_COSTED} SELECT trip_id, CAST(s AS DOUBLE) AS total_time, 60e0 AS walk_time, CAST(s // 2 AS DOUBLE) AS transit_time, 80e0 AS walk_dist, 0e0 AS transit_dist,
+        date || ' ' || time || ':00' AS departure_time, CASE WHEN s = 60 THEN 0e0 ELSE 4.8e0 END AS fare FROM asked WHERE trip_id % 7 <> 0 AND trip_id % 11 <> 0""",
+)
+def _(t: Tables):
+    return _costed(t).results.select(
+        "trip_id", "total_time", "walk_time", "transit_time", "walk_dist", "transit_dist", "departure_time", "fare"
+    )
+
+
+@query(
+    "cost_trips_flags",
+    f"""WITH {_COSTED} SELECT trip_id, CASE WHEN computed = 1 OR (trip_id % 7 <> 0 AND trip_id % 11 <> 0 AND trip_id IN (SELECT trip_id FROM asked)) THEN 1 ELSE 0 END AS computed
+        FROM fx_trips""",
+)
+def _(t: Tables):
+    return _costed(t).trips.select("trip_id", "computed")
+
+
+@query(
+    "cost_trips_failures",
+    f"""WITH {_COSTED} SELECT trip_id, CASE WHEN trip_id % 7 = 0 THEN 'no answer' ELSE 'no usable itinerary' END AS reason
+        FROM asked WHERE trip_id % 7 = 0 OR trip_id % 11 = 0""",
+)
+def _(t: Tables):
+    return _costed(t).failures
+
+
+@query(
+    "cost_trips_losses",
+    f"""WITH {_COSTED}, l AS (SELECT count(*) AS n, count(*) FILTER (WHERE trip_id % 7 = 0 OR trip_id % 11 = 0) AS bad FROM asked)
+        SELECT n, bad, round(bad / n * 100e0, 2) AS pct FROM l""",
+)
+def _(t: Tables):
+    return _costed(t).losses

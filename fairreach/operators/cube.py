@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairreach.functions.cost import cost_minutes
@@ -135,9 +135,11 @@ def demographic_level(
         .agg((F.try_divide(F.sum(F.col("metric") * F.col("count")), F.sum("count"))).alias("wass"))
         .withColumn("wass", F.round("wass", 2))
     )
-    overall = weighted.where(F.col("population") == "total").select("wass").scalar()
+    # one row per group is left, so the window holds a handful of rows, and cube and groups are read once
+    overall = F.max(F.when(F.col("population") == "total", F.col("wass"))).over(Window.partitionBy())
+    weighted = weighted.withColumn("_total", overall)
     return weighted.where(F.col("population") != "total").select(
-        "population", "wass", F.round(F.col("wass") - overall, 2).alias("arm")
+        "population", "wass", F.round(F.col("wass") - F.col("_total"), 2).alias("arm")
     )
 
 

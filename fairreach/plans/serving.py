@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairreach.functions.text import kv_pairs, strip_common_prefix
 from fairreach.operators.clean import distinct_values, groups
+from fairreach.operators.combine import full_results
 from fairreach.operators.cube import (
     access_metric,
     demographic_level,
@@ -19,8 +20,10 @@ from fairreach.operators.cube import (
 )
 from fairreach.operators.medians import best_poi, median_with_all, scale_metrics
 from fairreach.operators.numbering import add_rank
+from fairreach.operators.reshape import to_long
 from fairreach.operators.risk import at_risk
 from fairreach.sources.spatial import read_features
+from fairreach.sources.tables import refresh_summary
 
 
 def as_json(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -87,6 +90,34 @@ def results_summary(results: DataFrame, trips: DataFrame, poi: DataFrame, strata
     return summary_cube(results, trips, poi, strata)
 
 
+def refresh_cube(results: DataFrame, trips: DataFrame, poi: DataFrame, strata: DataFrame, path: str) -> DataFrame:
+    """Replace the cube stored at ``path`` by that of the given tables and return it as read back.
+
+    The other functions of this module take the stored cube: one small scan a query instead of the joins.
+    """
+    refresh_summary(summary_cube(results, trips, poi, strata), path)
+    return results.sparkSession.read.parquet(path)
+
+
+def map_from_results(
+    results: DataFrame,
+    trips: DataFrame,
+    timestamps: DataFrame,
+    k_poi: DataFrame,
+    metrics: Mapping[str, str],
+    in_seconds: Sequence[str] = (),
+    centroids: DataFrame | None = None,
+) -> DataFrame:
+    """Map attributes from the wide results on; a time that is in two strata counts in both.
+
+    ``centroids`` (oa_id and further columns) are carried into the result where given.
+    """
+    full = full_results(to_long(results, metrics), trips, timestamps, k_poi)
+    best = map_attributes(full, in_seconds)
+    # a centroid follows from its area, so it joins the few rows at the end
+    return best if centroids is None else best.join(centroids, "oa_id")
+
+
 def map_attributes(full: DataFrame, in_seconds: Sequence[str] = (), area_cols: Sequence[str] = ("oa_id",)) -> DataFrame:
     """Per area, type, stratum and metric the best destination's median, seconds as minutes.
 

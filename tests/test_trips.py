@@ -182,3 +182,30 @@ def test_long_id_lists(spark):
     assert clean.select_areas(df, [1, 2]).count() == 2
     assert clean.select_areas(df).count() == 5000
     assert clean.select_pois(df.withColumn("type", F.lit("t")), []).count() == 0
+
+
+def test_costing_flags_what_came_back(spark, tmp_path):
+    from fairreach.catalog.served import reply_router
+    from fairreach.plans.costing import append_results, cost_trips
+
+    def router(batch, endpoint):
+        if (batch["trip_id"] == 3).any():
+            raise ValueError("trip three")
+        return reply_router(batch[batch["trip_id"] != 4], endpoint)
+
+    made = spark.createDataFrame(
+        [(i, 1, 1, "2021-01-05", "07:00", int(i == 5)) for i in range(1, 7)], "trip_id long, oa_id long, poi_id long, date string, time string, computed int"
+    )
+    oa = spark.createDataFrame([(1, 52.5, -1.9)], "oa_id long, lat double, lon double")
+    poi = spark.createDataFrame([(1, 52.51, -1.9)], "poi_id long, lat double, lon double")
+    done = cost_trips(made.coalesce(1), oa, poi, router)
+    assert sorted(r["trip_id"] for r in done.results.collect()) == [1, 2, 6]
+    assert {r["trip_id"]: r["computed"] for r in done.trips.collect()} == {1: 1, 2: 1, 3: 0, 4: 0, 5: 1, 6: 1}
+    assert {r["trip_id"]: r["reason"] for r in done.failures.collect()} == {3: "ValueError: trip three", 4: "no answer"}
+    assert tuple(done.losses.first()) == (5, 2, 40.0)
+    append_results(done.results, str(tmp_path / "results"))
+    again = cost_trips(done.trips, oa, poi, reply_router)
+    append_results(again.results, str(tmp_path / "results"))
+    assert sorted(r["trip_id"] for r in spark.read.parquet(str(tmp_path / "results")).collect()) == [1, 2, 3, 4, 6]
+    empty = cost_trips(again.trips, oa, poi, reply_router)
+    assert empty.results.count() == 0 and empty.losses.first()["n"] == 0
