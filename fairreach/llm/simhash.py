@@ -5,7 +5,8 @@ For each segment a vantage-point tree is grown over a bounded sample: a node par
 Hamming distance to a vantage value, inner half up to the median, outer half beyond it. Its leaves are
 the shards. Every distinct fingerprint has one home leaf and also visits each later leaf that its ball
 overlaps by the triangle bound, so every close pair meets in exactly one shard a segment. Inside a shard the same
-split goes on while many homes are left, and what remains is compared in full (all 64 bits).
+split goes on while many homes are left, and what remains is compared in full (all 64 bits). A shard far fuller than
+the others (near copies share segments, hence leaves) is dealt into blocks, and each two blocks meet in a task of their own.
 
 Shards send on a spanning forest of their links, not all pairs, so a group of thousands of near copies
 gives one edge a member. Exact copies are one fingerprint from the start.
@@ -24,16 +25,19 @@ from pyspark.sql import functions as F
 from fairreach.llm.common import LOWER, append_columns, fresh, table
 from fairreach.llm.graph import components
 from fairreach.llm.registry import query
-from fairreach.session import scratch_path
+from fairreach.session import scratch_path, stored
 
 #: Segments of a fingerprint: lowest bit and width.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
-#: Fingerprints that the trees are grown from, and leaves of a tree, at most: both bound what goes to the workers.
-SAMPLE = 32_768
-MOST_LEAVES = 4_096
+#: Leaves of a tree at most, and fingerprints that it is grown from (a leaf, and in all at least): with MOST_LEAVES a million.
+MOST_LEAVES = 1 << 16
+SAMPLE_A_LEAF, SAMPLE = 16, 32_768
 #: Distinct fingerprints that a leaf should hold, and homes that a shard compares without another split.
 LEAF = 1_024
 FLAT = 2_048
+#: Rows of a shard: four times the mean, but within these bounds; fuller ones are dealt into blocks of half as many.
+#: The lower bound is what a task compares in full in about ten seconds; the copies of a row grow with its shard's blocks.
+TASK_ROWS = (1 << 16, 1 << 22)
 #: Hashes whose bits are counted at once, and sides of a block of comparisons.
 _CHUNK = 1 << 16
 _ROWS, _COLS = 512, 4_096
@@ -169,8 +173,11 @@ def _hook(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(i, j), np.minimum(i, j))
 
 
-def shard_links(fingerprints: np.ndarray, home: np.ndarray, low: int, width: int, most: int) -> np.ndarray:
-    """Root of each row of a shard when rows within ``most`` bits are joined, home to home and home to visitor."""
+def shard_links(fingerprints: np.ndarray, home: np.ndarray, low: int, width: int, most: int, within: bool = True) -> np.ndarray:
+    """Root of each row of a shard when rows within ``most`` bits are joined, home to home and home to visitor.
+
+    Without ``within`` homes are not compared with one another: the two kinds are blocks that have met themselves elsewhere.
+    """
     parent = np.arange(len(fingerprints))
     mask = np.uint64((1 << width) - 1)
     values = (fingerprints >> np.uint64(low)) & mask
@@ -187,13 +194,13 @@ def shard_links(fingerprints: np.ndarray, home: np.ndarray, low: int, width: int
         if len(homes) > FLAT and near.any():
             dv = np.bitwise_count(values[visitors] ^ values[homes[0]]).astype(int)
             todo.append((homes[near], visitors[dv - reach <= radius]))
-            crossing = homes[near & (d + reach > radius)]
+            crossing = homes[near & (d + reach > radius) & within]
             todo.append((homes[~near], np.concatenate([visitors[dv + reach > radius], crossing])))
             continue
-        others = np.concatenate([homes, visitors])
+        others = np.concatenate([homes, visitors]) if within else visitors
         for a in range(0, len(homes), _ROWS):
             left = homes[a : a + _ROWS]
-            for b in range(a // _COLS * _COLS, len(others), _COLS):
+            for b in range(a // _COLS * _COLS if within else 0, len(others), _COLS):
                 right = others[b : b + _COLS]
                 close = np.bitwise_count(fingerprints[left][:, None] ^ fingerprints[right][None, :]) <= most
                 i, j = np.nonzero(close)
@@ -205,38 +212,72 @@ def shard_links(fingerprints: np.ndarray, home: np.ndarray, low: int, width: int
     return parent
 
 
+def _block(values: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Block of each fingerprint among ``many``, by a mix of all its bits."""
+    mixed = values.view(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(33)) % many.astype(np.uint64)).astype(np.int32)
+
+
 def links(fingerprints: DataFrame, most: int = 4) -> DataFrame:
-    """Edges ``(a, b)`` that join all distinct ``fingerprint`` values within ``most`` bits, a forest in each shard."""
-    distinct = fingerprints.select("fingerprint").where(F.col("fingerprint").isNotNull()).distinct()
-    path = scratch_path(fingerprints.sparkSession, "fingerprints")
-    distinct.write.parquet(path)
-    distinct = fingerprints.sparkSession.read.parquet(path)
+    """Edges ``(a, b)`` that join all distinct ``fingerprint`` values within ``most`` bits, a forest in each task."""
+    spark = fingerprints.sparkSession
+    distinct = stored(fingerprints.select("fingerprint").where(F.col("fingerprint").isNotNull()).distinct(), "fingerprints")
     n = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).toArrow()
-    sample = sample.column(0).to_numpy().astype(np.int64)
     leaves = min(MOST_LEAVES, -(-n // LEAF))
-    trees = [Tree(sample, low, width, leaves) for low, width in SEGMENTS]
+    wanted = max(SAMPLE, leaves * SAMPLE_A_LEAF)
+    # the lowest hashes, about as many as wanted: a filter, so that nothing is sorted
+    below = min((1 << 63) - 1, (1 << 64) * wanted // max(n, 1) - (1 << 63))
+    sample = distinct.where(F.xxhash64("fingerprint") <= F.lit(below).cast("bigint")).toArrow()
+    sample = np.sort(sample.column(0).to_numpy().astype(np.int64))[_order(sample.num_rows)]
     reach = most // len(SEGMENTS)
+    trees = spark.sparkContext.broadcast([Tree(sample, low, width, leaves) for low, width in SEGMENTS])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, tree in enumerate(trees.value):
+                shard, many = np.unique(k * MOST_LEAVES + tree.route(batch.column(0).to_numpy(), reach)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(many, pa.int64())], names=["shard", "n"])
+
+    # one row for each shard, so its number is bounded by MOST_LEAVES
+    sizes = distinct.mapInArrow(count, "shard int, n bigint").groupBy("shard").agg(F.sum("n").cast("bigint").alias("n")).toArrow()
+    rows = sizes.column("n").to_numpy().astype(np.int64)
+    room = min(TASK_ROWS[1], max(TASK_ROWS[0], 4 * int(rows.mean()) if len(rows) else 0))
+    many = np.ones(len(SEGMENTS) * MOST_LEAVES, np.int32)
+    many[sizes.column("shard").to_numpy()] = np.where(rows > room, -(-2 * rows // room), 1)
+    blocks = spark.sparkContext.broadcast(many)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy()
-            for k, tree in enumerate(trees):
-                rows, leaf, home = tree.route(values, reach)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k * MOST_LEAVES + leaf, pa.int32()), pa.array(values[rows]), pa.array(home)],
-                    names=["shard", "fingerprint", "home"],
-                )
+            for k, tree in enumerate(trees.value):
+                at, leaf, home = tree.route(values, reach)
+                shard = k * MOST_LEAVES + leaf
+                times = blocks.value[shard]
+                own = _block(values[at], times)
+                # a row goes to its block paired with each block of its shard
+                copy = np.repeat(np.arange(len(at)), times)
+                other = (np.arange(len(copy)) - np.repeat(np.cumsum(times) - times, times)).astype(np.int32)
+                own = own[copy]
+                columns = [shard[copy].astype(np.int32), np.minimum(own, other), np.maximum(own, other), values[at[copy]]]
+                flags = [home[copy], own < other]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns + flags], names=["shard", "one", "two", "fingerprint", "home", "first"])
 
     def join(group: pa.Table) -> pa.Table:
         values = group.column("fingerprint").to_numpy().astype(np.int64)
-        home = group.column("home").to_numpy(zero_copy_only=False)
-        root = shard_links(values.view(np.uint64), home, *SEGMENTS[group.column("shard")[0].as_py() // MOST_LEAVES], most)
+        shard, one, two = (group.column(c)[0].as_py() for c in ("shard", "one", "two"))
+        side = group.column("home" if one == two else "first").to_numpy(zero_copy_only=False)
+        root = shard_links(values.view(np.uint64), side, *SEGMENTS[shard // MOST_LEAVES], most, one == two)
         joined = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": values[joined], "b": values[root[joined]]})
 
-    dealt = distinct.mapInArrow(deal, "shard int, fingerprint bigint, home boolean")
-    return dealt.groupBy("shard").applyInArrow(join, "a bigint, b bigint")
+    dealt = distinct.mapInArrow(deal, "shard int, one int, two int, fingerprint bigint, home boolean, first boolean")
+    return dealt.groupBy("shard", "one", "two").applyInArrow(join, "a bigint, b bigint")
+
+
+def _order(n: int) -> np.ndarray:
+    """A fixed shuffle, as the trees take their vantage values by place."""
+    return np.random.default_rng(7).permutation(n)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, most: int = 4) -> DataFrame:

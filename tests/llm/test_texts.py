@@ -80,10 +80,11 @@ def test_fingerprints():
     assert got == [plain_fingerprint(t) for t in texts]
 
 
-@pytest.mark.parametrize("leaf, flat", [(1024, 2048), (16, 8)])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, leaf, flat):
+@pytest.mark.parametrize("leaf, flat, room", [(1024, 2048, 8192), (16, 8, 8192), (16, 8, 12), (1024, 16, 50)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, leaf, flat, room):
     monkeypatch.setattr(simhash, "LEAF", leaf)
     monkeypatch.setattr(simhash, "FLAT", flat)
+    monkeypatch.setattr(simhash, "TASK_ROWS", (room, room))
     rng = random.Random(4)
     values = [rng.getrandbits(64) for _ in range(300)]
     for v in values[:60]:
