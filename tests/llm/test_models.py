@@ -199,6 +199,19 @@ def _start(model, word, two, again):
     return math.log10((min(low, end) + ngram_lm.PRIOR * single) / (end + ngram_lm.PRIOR))
 
 
+def test_lm_scores_alike_with_several_filters(spark, monkeypatch, messy):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").unionByName(messy.select("doc_id", "text"))
+    train_on, found = docs.where(ngram_lm.id_remainder("doc_id", 10) != 0), []
+    monkeypatch.setattr(ngram_lm, "BITS_PER_ENTRY", 1024)  # no false hits to speak of, so equal counts give equal scores
+    for parts in (1, 4):
+        model, words = ngram_lm.train(train_on)
+        assert model.parts == parts
+        rows = ngram_lm.score(docs, model, words).collect()
+        found.append(sorted(tuple(-1 if x is None else round(x, 6) for x in r) for r in rows))
+        monkeypatch.setattr(ngram_lm, "MOST_BITS", -(-model.entries * 1024 // 4))
+    assert found[0] == found[1]
+
+
 def test_lm_messy(spark, messy):
     model, words = ngram_lm.train(messy.limit(0))
     rows = ngram_lm.score(messy, model, words).collect()
