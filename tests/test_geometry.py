@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fairreach.functions import geo
+from fairreach.operators import containment
 from fairreach.operators.containment import points_in_polygons
 from fairreach.operators.nearest import k_nearest, k_nearest_planar, nearest_line
 
@@ -135,7 +136,8 @@ def test_nearest_line_matches_brute_force(spark):
         assert d[got[i][0]] == pytest.approx(got[i][1], abs=1e-12)
 
 
-def test_points_in_polygons_of_all_sizes(spark):
+@pytest.mark.parametrize(("cell_points", "split"), [(50_000, 10_000), (10, 10_000), (10, 3)])
+def test_points_in_polygons_of_all_sizes(spark, monkeypatch, cell_points, split):
     rnd = random.Random(6)
     shapes = []
     for _ in range(40):
@@ -143,12 +145,13 @@ def test_points_in_polygons_of_all_sizes(spark):
         shapes.append([[[(x - h, y - h), (x + h, y - h), (x + h, y + h), (x - h, y + h)]]])
     pts = [(i, rnd.uniform(-3, 3), rnd.uniform(-3, 3)) for i in range(300)]
     points = spark.createDataFrame(pts, "point_id int, x double, y double")
-    got = {(r["point_id"], r["poly_id"]) for r in points_in_polygons(points, polygons(spark, *shapes)).collect()}
     want = set()
     for j, shape in enumerate(shapes):
         (x0, y0), _, (x1, y1), _ = shape[0][0]
         want |= {(i, j) for i, x, y in pts if x0 < x < x1 and y0 < y < y1}
-    assert got == want
+    monkeypatch.setattr(containment, "MOST_SPLIT", split)
+    rows = points_in_polygons(points, polygons(spark, *shapes), cell_points).collect()
+    assert len(rows) == len(want) and {(r["point_id"], r["poly_id"]) for r in rows} == want
 
 
 def _candidates(spark, targets, searches):
