@@ -199,6 +199,16 @@ def _start(model, word, two, again):
     return math.log10((min(low, end) + ngram_lm.PRIOR * single) / (end + ngram_lm.PRIOR))
 
 
+def test_lm_stores_pairs_seen_once(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a c a c e")], "doc_id long, text string")
+    model, _ = ngram_lm.train(docs)
+    count = Counter(p for t in ("a b c d", "a c a c e") for p in zip(["", *t.split()], [*t.split(), ""]))
+    first, second = (ngram_lm.word_hashes([p[k].encode() for p in count]) for k in (0, 1))
+    want = ngram_lm.quantise(np.array(list(count.values())))
+    assert model.filter.counts(ngram_lm.pair_hashes(first, second)).tolist() == want.tolist() and 1 in want
+    assert model.score([b"b c"])[1][0] > model.score([b"c b"])[1][0]
+
+
 def test_lm_scores_alike_with_several_filters(spark, monkeypatch, messy):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").unionByName(messy.select("doc_id", "text"))
     train_on, found = docs.where(ngram_lm.id_remainder("doc_id", 10) != 0), []
