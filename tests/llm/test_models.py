@@ -209,6 +209,18 @@ def test_lm_stores_pairs_seen_once(spark):
     assert model.score([b"b c"])[1][0] > model.score([b"c b"])[1][0]
 
 
+def test_lm_score_does_not_depend_on_frequent(spark, monkeypatch):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    train_on, found = docs.where(ngram_lm.id_remainder("doc_id", 10) != 0), []
+    for frequent in (0, 100, 1 << 19):
+        monkeypatch.setattr(ngram_lm, "FREQUENT", frequent)
+        model, words = ngram_lm.train(train_on)
+        assert model.ends == train_on.count()
+        rows = ngram_lm.score(docs, model, words).collect()
+        found.append(sorted((r.doc_id, round(r.score, 6)) for r in rows))
+    assert found[0] == found[1] == found[2]
+
+
 def test_lm_scores_alike_with_several_filters(spark, monkeypatch, messy):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").unionByName(messy.select("doc_id", "text"))
     train_on, found = docs.where(ngram_lm.id_remainder("doc_id", 10) != 0), []
