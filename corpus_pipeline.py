@@ -16,7 +16,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which one learnt language holds at least a third of the letters."""
+    """Documents in which one learnt language holds at least half of the letters and explains them better than none."""
     return language.drop_unidentified(docs, language.train(language.split_learned(docs)))
 
 

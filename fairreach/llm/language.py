@@ -3,6 +3,10 @@
 A language is a table of character-trigram counts over its whole training texts. A word (a run of letters)
 scores the sum of its trigrams' log probabilities; languages that hardly use the word's script are no candidates.
 Over a text's words the best path of labels pays a penalty at each switch, so a stray word does not break a span.
+
+A text is identified if its best language holds the majority of its letters and explains them better than no language
+does, that is, better than a table in which all buckets are alike: the trigrams of junk, and of languages and scripts that were
+not learnt, mostly fall into buckets that a learnt language hardly uses.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ SWITCH = 8.0
 #: A language is a candidate for a script in which it has this share of its letters.
 SCRIPT_SHARE = 0.002
 UNKNOWN = "und"
+#: Log probability of a trigram in a table in which all buckets are alike.
+NO_LANGUAGE = -float(np.log(BUCKETS))
 #: Ranges of the scripts (fixed values: Unicode blocks), first and last code point.
 SCRIPTS = (
     (0x0041, 0x024F, "Latin"),
@@ -109,12 +115,15 @@ class Model:
             out[some] += self.barred[[script_of(words[k]) for k in some.tolist()]]
         return out
 
-    def label(self, words: list[str], flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Language number of every word of every text: the path with the highest score less SWITCH for each switch."""
+    def label(self, words: list[str], flat: np.ndarray, starts: np.ndarray, scores: np.ndarray | None = None) -> np.ndarray:
+        """Language number of every word of every text: the path with the highest score less SWITCH for each switch.
+
+        ``scores`` are those of ``words``, if they are at hand.
+        """
         labels = np.zeros(len(flat), np.int32)
         if not len(flat):
             return labels
-        scores = self.scores(words)
+        scores = self.scores(words) if scores is None else scores
         sizes = np.diff(starts)
         some = np.flatnonzero(sizes)
         whole = np.zeros((len(sizes), len(self.languages)))
@@ -201,17 +210,23 @@ class Model:
 
     def predict(self, texts: list) -> tuple[list[str], np.ndarray]:
         """Language with most letters of each text, and its share of them; ``und`` and 0 without letters or languages."""
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """As :meth:`predict`, and the mean log probability of the trigrams of the words with that language, in it (0 without any)."""
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         words, flat, starts = coded_words(texts)
-        labels = self.label(words, flat, starts)
+        scores = self.scores(words)
+        labels = self.label(words, flat, starts, scores)
         letters = np.fromiter(map(len, words), np.int64, len(words))[flat]
         owner = np.repeat(np.arange(len(texts)), np.diff(starts))
         width = len(self.languages)
         sums = np.bincount(owner * width + labels, letters, len(texts) * width).reshape(-1, width)
-        total = sums.sum(1)
-        names = [self.languages[k] if n else UNKNOWN for k, n in zip(sums.argmax(1).tolist(), total.tolist(), strict=True)]
-        return names, sums.max(1) / np.maximum(total, 1)
+        total, best = sums.sum(1), sums.argmax(1)
+        names = [self.languages[k] if n else UNKNOWN for k, n in zip(best.tolist(), total.tolist(), strict=True)]
+        logs = np.bincount(owner, np.where(labels == best[owner], scores[flat, labels], 0), len(texts))
+        return names, sums.max(1) / np.maximum(total, 1), logs / np.maximum(sums.max(1), 1)
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """``(language, begin, end)`` of the stretches of one language in a text, as character offsets."""
@@ -295,11 +310,16 @@ def split_learned(docs: DataFrame) -> DataFrame:
     return docs.where(id_remainder("doc_id", 4) != 2)
 
 
-def drop_unidentified(docs: DataFrame, model: Model, least: float = 1 / 3) -> DataFrame:
-    """The rows of ``docs`` with a language that holds at least ``least`` of their letters, with their columns."""
-    names = (fresh(docs, "llm_lang"), fresh(docs, "llm_share"))
-    found = identify(docs, model, names)
-    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select([F.col(f"`{c}`") for c in docs.columns])
+def drop_unidentified(docs: DataFrame, model: Model, least: float = 1 / 2) -> DataFrame:
+    """The rows of ``docs`` with a language that holds at least ``least`` of their letters and explains them better than none, with their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    name = fresh(docs, "llm_identified")
+
+    def run(texts: list) -> list[pa.Array]:
+        languages, shares, logs = sent.value.judge(texts)
+        return [pa.array((np.array(languages) != UNKNOWN) & (shares >= least) & (logs > NO_LANGUAGE), pa.bool_())]
+
+    return append_columns(docs, {name: "boolean"}, run).where(F.col(name)).select([F.col(f"`{c}`") for c in docs.columns])
 
 
 @query("op4_language_id")

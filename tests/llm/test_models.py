@@ -59,6 +59,32 @@ def test_language_of_messy_rows(spark, messy):
     assert language.label_spans(messy, model).where("doc_id = 5").count() == 1
 
 
+def test_language_stage_rejects_junk_and_foreign_texts(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rng = np.random.default_rng(9)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    junk = [" ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(n)) for n in (3, 10, 100, 2000)]
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια",
+        "Все люди рождаются свободными и равными в своем достоинстве",
+        "모든 인간은 태어날 때부터 자유로우며",
+    ]
+    long = docs.where("length(text) > 200").limit(1).first().text
+    planted = spark.createDataFrame([(-1 - k, t) for k, t in enumerate([*junk, *foreign])] + [(-100, f"{long} {junk[0]}")], "doc_id long, text string")
+    model = language.train(language.split_learned(docs))
+    rows = docs.select("doc_id", "text")
+    kept = [r.doc_id for r in language.drop_unidentified(rows.unionByName(planted), model).collect()]
+    assert [i for i in kept if i < 0] == [-100]
+    assert len(kept) == rows.count() + 1
+    # four languages, none with half of the letters
+    four = language.Model({x: {language._trigrams([x * 8])[0][3]: 100} for x in "abcd"})
+    mixed = " ".join(x * 8 for x in "aaabbccd")
+    assert four.predict([mixed.encode()])[0] == ["a"]
+    assert language.drop_unidentified(spark.createDataFrame([(1, mixed)], "doc_id long, text string"), four).isEmpty()
+
+
 def test_language_held_out(spark):
     truth = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op4_language_id"](spark, FOLDER).where("held_out").join(truth, "doc_id").collect()
