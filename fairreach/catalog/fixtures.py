@@ -142,6 +142,10 @@ class Tables:
         first = F.concat(F.substring("date", 1, 4), F.lit("-01-01")).alias("date")
         return trips.select("stratum", first, F.lit("08:00:00").alias("time")).distinct()
 
+    def fx_all_stamps(self) -> DataFrame:
+        """Every date and time at which a stratum has a trip."""
+        return self.fx_trips().join(self.fx_strata(), "trip_id").select("stratum", "date", "time").distinct()
+
     def fx_long(self) -> DataFrame:
         from fairreach.operators.reshape import to_long
 
@@ -210,6 +214,7 @@ FIXTURE_SQL = {
     "fx_k_poi": """SELECT DISTINCT t.oa_id, t.poi_id, p.type AS poi_type FROM fx_trips t JOIN fx_poi p ON t.poi_id = p.poi_id""",
     "fx_stamps": """SELECT DISTINCT stratum, date[1:4] || '-01-01' AS date, '08:00:00' AS time
         FROM fx_trips JOIN fx_strata USING (trip_id)""",
+    "fx_all_stamps": "SELECT DISTINCT stratum, date, time FROM fx_trips JOIN fx_strata USING (trip_id)",
     "fx_long": """SELECT trip_id, 'total_time' AS metric, total_time AS value FROM fx_results
         UNION ALL SELECT trip_id, 'walk_dist', walk_dist FROM fx_results
         UNION ALL SELECT trip_id, 'transit_time', transit_time FROM fx_results""",

@@ -125,6 +125,21 @@ def _(t: Tables):
     return made.select("trip_id", "oa_id", "poi_id", "stratum", "date", "time")
 
 
+@query(
+    "join_cross_all",
+    """WITH pairs AS (SELECT *, row_number() OVER (ORDER BY oa_id, poi_type, poi_id) AS pair FROM fx_k_poi),
+    stamps AS (SELECT *, row_number() OVER (ORDER BY stratum, date, time) AS ts, count(*) OVER () AS n FROM fx_all_stamps)
+    SELECT oa_id, poi_id, stratum, count(*) AS trips, sum((pair - 1) * n + ts) AS ids, min(date || ' ' || time) AS first, max(date || ' ' || time) AS last
+    FROM pairs, stamps GROUP BY 1, 2, 3""",
+)
+def _(t: Tables):
+    made = trips.cross_trips(t.fx_k_poi(), t.fx_all_stamps())
+    stamp = F.concat_ws(" ", "date", "time")
+    return made.groupBy("oa_id", "poi_id", "stratum").agg(
+        F.count("*").alias("trips"), F.sum("trip_id").alias("ids"), F.min(stamp).alias("first"), F.max(stamp).alias("last")
+    )
+
+
 _APPEND = """old AS (SELECT t.*, p.type AS poi_type, s.stratum FROM fx_trips t JOIN fx_poi p ON t.poi_id = p.poi_id JOIN fx_strata s ON t.trip_id = s.trip_id
     WHERE t.trip_id % 3 <> 0),
     new AS (SELECT NULL AS trip_id, t.oa_id, t.poi_id, t.date, t.time, 0 AS computed, p.type AS poi_type, s.stratum FROM fx_trips t

@@ -209,3 +209,13 @@ def test_costing_flags_what_came_back(spark, tmp_path):
     assert sorted(r["trip_id"] for r in spark.read.parquet(str(tmp_path / "results")).collect()) == [1, 2, 3, 4, 6]
     empty = cost_trips(again.trips, oa, poi, reply_router)
     assert empty.results.count() == 0 and empty.losses.first()["n"] == 0
+
+
+def test_all_stamps_reach_the_product(spark, tables):
+    from fairreach import catalog
+
+    stamps = tables.orders.selectExpr("o_orderpriority", "o_orderdate", "o_orderkey * 37 % 1440").distinct().count()
+    out = catalog.queries()["join_cross_all"](spark, "/root/testdata/sf0.001")
+    made, ids = out.agg({"trips": "sum", "ids": "sum"}).select("sum(trips)", "sum(ids)").first()
+    assert made == tables.fx_k_poi().count() * stamps
+    assert ids == made * (made + 1) // 2
