@@ -1,7 +1,7 @@
 """All queries of this subpackage."""
 
 import corpus_pipeline  # noqa: F401
-from fairreach.llm import collocations, decontaminate, hamming_search, language, licenses, ngram_lm, sentencepiece, simhash, tokens, toxicity, urls, whitening  # noqa: F401
+from fairreach.llm import collocations, decontaminate, hamming_search, language, licenses, ngram_lm, secrets, sentencepiece, simhash, tokens, toxicity, urls, whitening  # noqa: F401
 from fairreach.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -61,10 +61,11 @@ def _deviations(x: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:
     return x.astype(object) * n - sums
 
 
-def _squares(dev: np.ndarray) -> list[decimal.Decimal]:
+def _squares(dev: np.ndarray) -> list[str]:
+    """The sum of squares of each row, in digits, as it may pass any fixed size."""
     if dev.dtype != object and int(np.abs(dev).max(initial=0)) ** 2 * dev.shape[1] >= _SAFE:
         dev = dev.astype(object)
-    return [decimal.Decimal(int(v)) for v in (dev * dev).sum(1)]
+    return [str(int(v)) for v in (dev * dev).sum(1)]
 
 
 def _mapped(rows: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
@@ -175,7 +176,7 @@ def whiten(
     """``key, n, deviation, whitened, explained, identity_error``: one row for each row of ``rows`` that has a vector.
 
     Entries become floor(``scale`` c) + ``shift``. The fit is over all rows' vectors (``weights="count"``), or over each distinct vector once
-    (``"one"``); n is their number. ``deviation`` is the sum of (n x - S)^2, ``whitened`` the coordinates along the leading components,
+    (``"one"``); n is their number. ``deviation`` is the sum of (n x - S)^2 in digits, ``whitened`` the coordinates along the leading components,
     at most ``most``, in units of their deviation; ``explained`` is each component's part of the variance and ``identity_error`` how far the whitened
     vectors' covariance is from the identity. Components are in order of falling variance, with either sign.
 
@@ -193,15 +194,15 @@ def whiten(
     model = fit(distinct, most)
     kind = rows.schema[key].dataType.simpleString()
     if model is None:
-        empty = f"`{key}` {kind}, n bigint, deviation decimal(38,0), whitened array<double>, explained array<double>, identity_error double"
+        empty = f"`{key}` {kind}, n bigint, deviation string, whitened array<double>, explained array<double>, identity_error double"
         return rows.sparkSession.createDataFrame([], empty)
 
     def project(batch: pa.RecordBatch) -> pa.RecordBatch:
         dev, white = model.apply(_matrix(batch.column(0)))
-        columns = [*batch.columns, pa.array(_squares(dev), pa.decimal128(38, 0)), pa.array(list(white), pa.list_(pa.float64()))]
+        columns = [*batch.columns, pa.array(_squares(dev), pa.string()), pa.array(list(white), pa.list_(pa.float64()))]
         return pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "deviation", "whitened"])
 
-    white = _mapped(distinct.select("x", "times", "weight"), project, "x array<bigint>, times bigint, weight bigint, deviation decimal(38,0), whitened array<double>")
+    white = _mapped(distinct.select("x", "times", "weight"), project, "x array<bigint>, times bigint, weight bigint, deviation string, whitened array<double>")
     white = stored(white.withColumn("x", _key("x")), "whitened")
     error = identity_error(white, model.n)
 
