@@ -30,7 +30,6 @@ HEADLINE = [
     "knn_poi_planar",
     "knn_nearest_road",
     "join_within",
-    "win_row_id",
     "upsert_trips",
     "mark_computed",
     "page_scan",
@@ -41,7 +40,6 @@ HEADLINE = [
     "agg_dedupe_group",
     "q_etl",
     "q_access_query",
-    "join_cross",
     "agg_rollup_alltimes",
     "gen_trips",
     "cost_trips_results",

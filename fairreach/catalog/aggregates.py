@@ -183,3 +183,13 @@ def _(t: Tables):
 @query("page_scan", "SELECT trip_id, oa_id, poi_id FROM fx_trips ORDER BY trip_id LIMIT 250 OFFSET 500")
 def _(t: Tables):
     return numbering.page(t.fx_trips().select("trip_id", "oa_id", "poi_id"), "trip_id", 250, 500)
+
+
+@query(
+    "page_scan_far",
+    """SELECT trip_id, oa_id, poi_id FROM (SELECT *, row_number() OVER (ORDER BY trip_id) AS n, count(*) OVER () AS size FROM fx_trips)
+       WHERE n > size - 300 AND n <= size - 50""",
+)
+def _(t: Tables):
+    """A page at the end of the stored trips."""
+    return t.paged_trips().page(250, t.orders.count() - 300).select("trip_id", "oa_id", "poi_id")

@@ -107,6 +107,18 @@ def _(t):
     return mark_computed(t.fx_trips(), 500, 100).select("trip_id", "computed")
 
 
+@query(
+    "mark_computed_stored",
+    """SELECT trip_id, CASE WHEN n BETWEEN size // 2 + 1 AND size // 2 + 500 THEN 1 ELSE computed END AS computed
+       FROM (SELECT *, row_number() OVER (ORDER BY trip_id) AS n, count(*) OVER () AS size FROM fx_trips)""",
+)
+def _(t):
+    """A page in the middle of the stored trips."""
+    stored = t.paged_trips()
+    stored.update_page(500, t.orders.count() // 2, computed=F.lit(1))
+    return stored.read().select("trip_id", "computed")
+
+
 @query("nonnull_row_check", "SELECT trip_id, total_time, fare FROM (SELECT trip_id, total_time, CASE WHEN num_transfers = 3 THEN NULL ELSE fare END AS fare FROM fx_results) WHERE fare IS NOT NULL AND total_time IS NOT NULL")
 def _(t):
     holes = F.when(F.col("num_transfers") == 3, F.lit(None)).otherwise(F.col("fare")).alias("fare")

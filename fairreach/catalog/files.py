@@ -39,11 +39,14 @@ def _(t: Tables):
 
 @query("src_chunked", "SELECT event_id, user_id, event_type, value FROM events")
 def _(t: Tables):
+    """Files that arrive in three portions; the last run finds nothing new."""
     parts = t.events.select("event_id", "user_id", "event_type", "value")
-    paths = [scratch_path(t.spark, f"events-{i}") for i in range(3)]
-    for i, path in enumerate(paths):
-        parts.where(F.col("event_id") % 3 == i).write.option("header", True).csv(path)
-    return tables.append_files(t.spark, paths, "event_id bigint, user_id bigint, event_type string, value double")
+    folder, table, state = (scratch_path(t.spark, f"events-{what}") for what in ("files", "table", "state"))
+    for i in [0, 1, 2, None]:
+        if i is not None:
+            parts.where(F.col("event_id") % 3 == i).write.mode("append").option("header", True).csv(folder)
+        loaded = tables.take_in(t.spark, folder, "event_id bigint, user_id bigint, event_type string, value double", table, state)
+    return loaded
 
 
 @query("sink_csv", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
@@ -68,7 +71,7 @@ def _(t: Tables):
     path = scratch_path(t.spark, "cube")
     tables.refresh_summary(t.fx_cube().limit(0), path)
     written = tables.refresh_summary(t.fx_cube(), path)
-    stored = t.spark.read.parquet(path)
+    stored = tables.read_summary(t.spark, path)
     return stored.agg(F.lit(written).cast("bigint").alias("rows_written"), F.countDistinct("oa_id").alias("areas"))
 
 

@@ -9,10 +9,14 @@ from fairreach.functions.cost import flat_fare
 from fairreach.functions.geo import point
 from fairreach.operators.cube import summary_cube
 from fairreach.operators.reshape import populations
+from fairreach.session import checkpoint_root, scratch_path
+from fairreach.sources.paged_table import PagedTable
 
 POI_TYPES = ["Hospital", "Job Centre", "Strategic Centre", "School", "Childcare", "Rail Station"]
 K_BY_TYPE = {"Hospital": 2, "Job Centre": 2, "Strategic Centre": 1, "School": 3, "Childcare": None, "Rail Station": 2}
 GROUPS = {"total": ["flag_a", "flag_n", "flag_r"], "a": ["flag_a"], "n": ["flag_n"], "not_a": ["flag_n", "flag_r"]}
+# where the served cube of a folder of tables is stored, by session
+_SERVED: dict[tuple[str, str], str] = {}
 METRIC_COLUMNS = {"total_time": "total_time", "walk_dist": "walk_dist", "transit_time": "transit_time"}
 
 
@@ -103,6 +107,22 @@ class Tables:
     def fx_cube(self) -> DataFrame:
         return summary_cube(self.fx_results(), self.fx_trips(), self.fx_poi(), self.fx_strata())
 
+    def served_cube(self) -> DataFrame:
+        """The cube as served: stored when a session first asks for it, then read from there."""
+        from fairreach.plans.serving import CubeStore
+
+        place = _SERVED.setdefault((checkpoint_root(self.spark), self.folder), scratch_path(self.spark, "served-cube"))
+        store = CubeStore(self.spark, place)
+        if not store.table.version():
+            store.refresh(self.fx_results(), self.fx_trips(), self.fx_poi(), self.fx_strata())
+        return store.read()
+
+    def paged_trips(self) -> PagedTable:
+        """The trips in a stored table of some twenty files."""
+        stored = PagedTable(self.spark, scratch_path(self.spark, "paged-trips"), "trip_id")
+        stored.write(self.fx_trips(), max(1, self.orders.count() // 20))
+        return stored
+
     def fx_wide(self) -> DataFrame:
         """Counts of order lines per area and return flag; a flag that never occurs stays NULL."""
         flags = [F.count_if(F.col("l_returnflag") == f).alias(f"_{f}") for f in "ANR"]
@@ -136,12 +156,6 @@ class Tables:
         poi = self.fx_poi().select("poi_id", F.col("type").alias("poi_type"))
         return self.fx_trips().select("oa_id", "poi_id").distinct().join(poi, "poi_id").select("oa_id", "poi_id", "poi_type")
 
-    def fx_stamps(self) -> DataFrame:
-        """The years in which each stratum has trips, as timestamps of their first morning."""
-        trips = self.fx_trips().join(self.fx_strata(), "trip_id")
-        first = F.concat(F.substring("date", 1, 4), F.lit("-01-01")).alias("date")
-        return trips.select("stratum", first, F.lit("08:00:00").alias("time")).distinct()
-
     def fx_all_stamps(self) -> DataFrame:
         """Every date and time at which a stratum has a trip."""
         return self.fx_trips().join(self.fx_strata(), "trip_id").select("stratum", "date", "time").distinct()
@@ -212,8 +226,6 @@ FIXTURE_SQL = {
     "fx_tri": """SELECT poly_id, cx - h AS x1, cy - h AS y1, cx + h AS x2, cy - h / 2 AS y2, cx AS x3, cy + h AS y3
         FROM fx_tri0""",
     "fx_k_poi": """SELECT DISTINCT t.oa_id, t.poi_id, p.type AS poi_type FROM fx_trips t JOIN fx_poi p ON t.poi_id = p.poi_id""",
-    "fx_stamps": """SELECT DISTINCT stratum, date[1:4] || '-01-01' AS date, '08:00:00' AS time
-        FROM fx_trips JOIN fx_strata USING (trip_id)""",
     "fx_all_stamps": "SELECT DISTINCT stratum, date, time FROM fx_trips JOIN fx_strata USING (trip_id)",
     "fx_long": """SELECT trip_id, 'total_time' AS metric, total_time AS value FROM fx_results
         UNION ALL SELECT trip_id, 'walk_dist', walk_dist FROM fx_results

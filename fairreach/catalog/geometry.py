@@ -26,10 +26,34 @@ _RANKED = f"""ranked AS (SELECT o.oa_id, p.poi_id, p.type AS poi_type, round({_h
     k AS (SELECT * FROM (VALUES {_K_VALUES}) v(poi_type, k))"""
 
 
-@query("knn_poi", f"WITH {_RANKED} SELECT oa_id, poi_id, poi_type, rank, round(m, 1) AS metres FROM ranked JOIN k USING (poi_type) WHERE rank <= k")
+def _vincenty_sql(rounds: int, keys: str, pairs: str) -> str:
+    """Vincenty's inverse formula as a chain of subqueries, one per round; ``metres`` of the keys of ``pairs``, joined as o and p."""
+    f, names = "(1 / 298.257223563e0)", ", ".join(k.split(".")[-1] for k in keys.split(", "))
+    out = f"""v AS (SELECT {keys}, atan((1 - {f}) * tan(radians(o.lat))) AS u1, atan((1 - {f}) * tan(radians(p.lat))) AS u2,
+        radians(p.lon - o.lon) AS l FROM {pairs}), r0 AS (SELECT *, l AS lam FROM v)"""
+    for i in range(rounds):
+        out += f""", s{i} AS (SELECT *, sqrt((cos(u2) * sin(lam)) ** 2 + (cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam)) ** 2) AS ss,
+            sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM r{i}),
+            a{i} AS (SELECT *, atan2(ss, cs) AS sg, CASE WHEN ss = 0 THEN 0e0 ELSE cos(u1) * cos(u2) * sin(lam) / ss END AS sa FROM s{i}),
+            m{i} AS (SELECT *, 1 - sa * sa AS c2, cs - 2 * sin(u1) * sin(u2) / (1 - sa * sa) AS cm FROM a{i}),
+            k{i} AS (SELECT *, {f} / 16 * c2 * (4 + {f} * (4 - 3 * c2)) AS c FROM m{i}),
+            r{i + 1} AS (SELECT {names}, u1, u2, l, ss AS ss_, cs AS cs_, sg AS sg_, c2 AS c2_, cm AS cm_,
+            l + (1 - c) * {f} * sa * (sg + c * ss * (cm + c * cs * (2 * cm * cm - 1))) AS lam FROM k{i})"""
+    return out + f""", e AS (SELECT *, c2_ * ((6378137e0 ** 2 - (6378137e0 * (1 - {f})) ** 2) / (6378137e0 * (1 - {f})) ** 2) AS u FROM r{rounds}),
+        g AS (SELECT *, 1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u))) AS ba, u / 1024 * (256 + u * (-128 + u * (74 - 47 * u))) AS bb FROM e)
+        SELECT {names}, round(6378137e0 * (1 - {f}) * ba * (sg_ - bb * ss_ * (cm_ + bb / 4 * (cs_ * (2 * cm_ * cm_ - 1)
+        - bb / 6 * cm_ * (4 * ss_ * ss_ - 3) * (4 * cm_ * cm_ - 3)))), 1) AS metres FROM g"""
+
+
+@query(
+    "knn_poi",
+    f"""WITH {_RANKED}, near AS (SELECT oa_id, poi_id, poi_type, rank, m FROM ranked JOIN k USING (poi_type) WHERE rank <= k),
+    d AS (WITH {_vincenty_sql(6, "n.oa_id, n.poi_id, n.poi_type, n.rank, n.m", "near n JOIN fx_oa o ON n.oa_id = o.oa_id JOIN fx_poi p ON n.poi_id = p.poi_id")})
+    SELECT oa_id, poi_id, poi_type, rank, round(m, 1) AS metres, metres AS distance FROM d""",
+)
 def _(t: Tables):
-    near = k_nearest(t.fx_oa(), t.fx_poi(), K_BY_TYPE, spheroid=False)
-    return near.select("oa_id", "poi_id", "poi_type", "rank", F.round("sphere_m", 1).alias("metres"))
+    near = k_nearest(t.fx_oa(), t.fx_poi(), K_BY_TYPE)
+    return near.select("oa_id", "poi_id", "poi_type", "rank", F.round("sphere_m", 1).alias("metres"), F.round("distance", 1).alias("distance"))
 
 
 @query("join_lateral_topk", f"WITH {_RANKED} SELECT oa_id, poi_id FROM ranked WHERE poi_type = 'School' AND rank <= 5")
@@ -202,26 +226,7 @@ def _(t: Tables):
     return _ends(t).select("trip_id", F.round(degrees, 9).alias("degrees"))
 
 
-def _vincenty_sql(rounds: int) -> str:
-    """Vincenty's inverse formula as a chain of subqueries, one per round."""
-    f = "(1 / 298.257223563e0)"
-    out = f"""v AS (SELECT trip_id, atan((1 - {f}) * tan(radians(o.lat))) AS u1, atan((1 - {f}) * tan(radians(p.lat))) AS u2,
-        radians(p.lon - o.lon) AS l FROM {_PAIRS}), r0 AS (SELECT *, l AS lam FROM v)"""
-    for i in range(rounds):
-        out += f""", s{i} AS (SELECT *, sqrt((cos(u2) * sin(lam)) ** 2 + (cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam)) ** 2) AS ss,
-            sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM r{i}),
-            a{i} AS (SELECT *, atan2(ss, cs) AS sg, CASE WHEN ss = 0 THEN 0e0 ELSE cos(u1) * cos(u2) * sin(lam) / ss END AS sa FROM s{i}),
-            m{i} AS (SELECT *, 1 - sa * sa AS c2, cs - 2 * sin(u1) * sin(u2) / (1 - sa * sa) AS cm FROM a{i}),
-            k{i} AS (SELECT *, {f} / 16 * c2 * (4 + {f} * (4 - 3 * c2)) AS c FROM m{i}),
-            r{i + 1} AS (SELECT trip_id, u1, u2, l, ss AS ss_, cs AS cs_, sg AS sg_, c2 AS c2_, cm AS cm_,
-            l + (1 - c) * {f} * sa * (sg + c * ss * (cm + c * cs * (2 * cm * cm - 1))) AS lam FROM k{i})"""
-    return out + f""", e AS (SELECT *, c2_ * ((6378137e0 ** 2 - (6378137e0 * (1 - {f})) ** 2) / (6378137e0 * (1 - {f})) ** 2) AS u FROM r{rounds}),
-        g AS (SELECT *, 1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u))) AS ba, u / 1024 * (256 + u * (-128 + u * (74 - 47 * u))) AS bb FROM e)
-        SELECT trip_id, round(6378137e0 * (1 - {f}) * ba * (sg_ - bb * ss_ * (cm_ + bb / 4 * (cs_ * (2 * cm_ * cm_ - 1)
-        - bb / 6 * cm_ * (4 * ss_ * ss_ - 3) * (4 * cm_ * cm_ - 3)))), 1) AS metres FROM g"""
-
-
-@query("dist_spheroid", "WITH " + _vincenty_sql(5))
+@query("dist_spheroid", "WITH " + _vincenty_sql(5, "trip_id", _PAIRS))
 def _(t: Tables):
     metres = geo.geodesic_m(F.col("a"), F.col("b"), F.col("lat"), F.col("lon"))
     return _ends(t).select("trip_id", F.round(metres, 1).alias("metres"))

@@ -11,6 +11,8 @@ from fairreach.catalog.fixtures import Tables
 from fairreach.catalog.registry import query
 from fairreach.functions.clock import clock_text
 from fairreach.operators import calendar, itinerary, trips
+from fairreach.session import scratch_path
+from fairreach.sources.trip_table import TripTable
 
 _SPANS_SQL = """(SELECT user_id, CAST(min(ts) AS DATE) AS first_day, CAST(max(ts) AS DATE) AS last_day,
     CAST(epoch(min(CAST(ts AS TIME))) AS INTEGER) // 3600 * 3600 AS first_second,
@@ -110,26 +112,39 @@ def _(t: Tables):
     return made.select("oa_id", "poi_id", "poi_type", "sample_no", "date", "time")
 
 
-_PRODUCT = """pairs AS (SELECT *, row_number() OVER (ORDER BY oa_id, poi_type, poi_id) AS pair FROM fx_k_poi),
-    stamps AS (SELECT *, row_number() OVER (ORDER BY stratum, date, time) AS ts, count(*) OVER () AS n FROM fx_stamps)"""
+_PRODUCT = """WITH pairs AS (SELECT *, row_number() OVER (ORDER BY oa_id, poi_type, poi_id) AS pair FROM fx_k_poi),
+    stamps AS (SELECT *, row_number() OVER (ORDER BY stratum, date, time) AS ts, count(*) OVER () AS n FROM fx_all_stamps)"""
 
 
-@query("join_cross", "SELECT oa_id, poi_id, poi_type, stratum, date, time, 0 AS computed FROM fx_k_poi, fx_stamps")
+@query(
+    "join_cross",
+    """SELECT oa_id, poi_id, poi_type, count(*) AS trips, count(DISTINCT stratum) AS strata, sum(CAST(time[1:2] AS INTEGER)) AS hours, 0 AS computed
+       FROM fx_k_poi, fx_all_stamps GROUP BY 1, 2, 3""",
+)
 def _(t: Tables):
-    return trips.cross_trips(t.fx_k_poi(), t.fx_stamps()).drop("trip_id")
+    """Every pair at every date and time, summed up by pair."""
+    made = trips.cross_trips(t.fx_k_poi(), t.fx_all_stamps())
+    hours = F.sum(F.substring("time", 1, 2).cast("int")).alias("hours")
+    strata = F.size(F.collect_set("stratum")).cast("bigint").alias("strata")
+    return made.groupBy("oa_id", "poi_id", "poi_type").agg(F.count("*").alias("trips"), strata, hours, F.max("computed").alias("computed"))
 
 
-@query("win_row_id", f"WITH {_PRODUCT} SELECT (pair - 1) * n + ts AS trip_id, oa_id, poi_id, stratum, date, time FROM pairs, stamps")
+@query(
+    "win_row_id",
+    f"""{_PRODUCT} SELECT date, time, stratum, count(*) AS trips, min((pair - 1) * n + ts) AS first, max((pair - 1) * n + ts) AS last, sum((pair - 1) * n + ts) AS ids
+        FROM pairs, stamps GROUP BY 1, 2, 3""",
+)
 def _(t: Tables):
-    made = trips.assign_trip_ids(t.fx_k_poi(), t.fx_stamps())
-    return made.select("trip_id", "oa_id", "poi_id", "stratum", "date", "time")
+    """The ids of all trips, summed up by date, time and stratum."""
+    made = trips.assign_trip_ids(t.fx_k_poi(), t.fx_all_stamps())
+    return made.groupBy("date", "time", "stratum").agg(
+        F.count("*").alias("trips"), F.min("trip_id").alias("first"), F.max("trip_id").alias("last"), F.sum("trip_id").alias("ids")
+    )
 
 
 @query(
     "join_cross_all",
-    """WITH pairs AS (SELECT *, row_number() OVER (ORDER BY oa_id, poi_type, poi_id) AS pair FROM fx_k_poi),
-    stamps AS (SELECT *, row_number() OVER (ORDER BY stratum, date, time) AS ts, count(*) OVER () AS n FROM fx_all_stamps)
-    SELECT oa_id, poi_id, stratum, count(*) AS trips, sum((pair - 1) * n + ts) AS ids, min(date || ' ' || time) AS first, max(date || ' ' || time) AS last
+    f"""{_PRODUCT} SELECT oa_id, poi_id, stratum, count(*) AS trips, sum((pair - 1) * n + ts) AS ids, min(date || ' ' || time) AS first, max(date || ' ' || time) AS last
     FROM pairs, stamps GROUP BY 1, 2, 3""",
 )
 def _(t: Tables):
@@ -140,46 +155,52 @@ def _(t: Tables):
     )
 
 
-_APPEND = """old AS (SELECT t.*, p.type AS poi_type, s.stratum FROM fx_trips t JOIN fx_poi p ON t.poi_id = p.poi_id JOIN fx_strata s ON t.trip_id = s.trip_id
-    WHERE t.trip_id % 3 <> 0),
-    new AS (SELECT NULL AS trip_id, t.oa_id, t.poi_id, t.date, t.time, 0 AS computed, p.type AS poi_type, s.stratum FROM fx_trips t
-    JOIN fx_poi p ON t.poi_id = p.poi_id JOIN fx_strata s ON t.trip_id = s.trip_id WHERE t.trip_id % 3 <> 1),
-    merged AS (SELECT oa_id, poi_id, date, time, max(trip_id) AS trip_id, min(poi_type) AS poi_type, min(stratum) AS stratum, max(computed) AS computed
-    FROM (SELECT trip_id, oa_id, poi_id, date, time, computed, poi_type, stratum FROM old UNION ALL SELECT trip_id, oa_id, poi_id, date, time, computed, poi_type, stratum FROM new)
-    GROUP BY 1, 2, 3, 4),
-    final AS (SELECT trip_id, oa_id, poi_id, date, time, poi_type, stratum, computed FROM merged WHERE trip_id IS NOT NULL
-    UNION ALL SELECT (SELECT max(trip_id) FROM old) + row_number() OVER (ORDER BY oa_id, poi_id, date, time), oa_id, poi_id, date, time, poi_type, stratum, computed
-    FROM merged WHERE trip_id IS NULL)"""
+_APPEND = """named AS (SELECT t.*, p.type AS poi_type, s.stratum FROM fx_trips t JOIN fx_poi p ON t.poi_id = p.poi_id JOIN fx_strata s ON t.trip_id = s.trip_id),
+    old AS (SELECT trip_id, oa_id, poi_id, date, time, computed, poi_type, stratum FROM named WHERE trip_id % 3 <> 0
+    UNION ALL SELECT trip_id + 1000000000000, oa_id, poi_id, date, time, 0, poi_type, 'All times' FROM named WHERE trip_id % 15 = 1),
+    new AS (SELECT DISTINCT oa_id, poi_id, date, time, poi_type, stratum FROM named n WHERE trip_id % 3 <> 1
+    AND NOT EXISTS (SELECT 1 FROM old o WHERE o.oa_id = n.oa_id AND o.poi_id = n.poi_id AND o.date = n.date AND o.time = n.time)),
+    final AS (SELECT trip_id, oa_id, poi_id, date, time, poi_type, stratum, computed FROM old
+    UNION ALL SELECT (SELECT max(trip_id) FROM old) + row_number() OVER (ORDER BY oa_id, poi_id, date, time, poi_type, stratum), oa_id, poi_id, date, time, poi_type, stratum, 0 FROM new)"""
 
 
-def _appended(t: Tables):
+def _old_and_new(t: Tables):
+    """Stored trips, some of them under two strata, and candidates that partly equal them."""
     poi = t.fx_poi().select("poi_id", F.col("type").alias("poi_type"))
-    full = t.fx_trips().join(poi, "poi_id").join(t.fx_strata(), "trip_id")
-    old = full.where("trip_id % 3 <> 0")
-    new = full.where("trip_id % 3 <> 1").drop("trip_id", "computed")
-    return trips.append_trips(old, new)
+    named = t.fx_trips().join(poi, "poi_id").join(t.fx_strata(), "trip_id")
+    twice = named.where("trip_id % 15 = 1").withColumns({"trip_id": F.col("trip_id") + 1_000_000_000_000, "stratum": F.lit("All times"), "computed": F.lit(0)})
+    return named.where("trip_id % 3 <> 0").unionByName(twice), named.where("trip_id % 3 <> 1").drop("trip_id", "computed")
+
+
+def _appended(t: Tables):
+    return trips.append_trips(*_old_and_new(t))
 
 
 @query("upsert_trips", f"WITH {_APPEND} SELECT trip_id, oa_id, poi_id, date, time, poi_type, stratum, computed FROM final")
 def _(t: Tables):
-    return _appended(t)
+    """The stored table: loaded once, then extended."""
+    old, new = _old_and_new(t)
+    kept = TripTable(t.spark, scratch_path(t.spark, "trips"), types={"oa_id": "bigint"})
+    kept.load(old)
+    kept.append(new)
+    return kept.read()
 
 
-@query("win_first_value", f"WITH {_APPEND} SELECT oa_id, poi_id, date, time, trip_id FROM final WHERE trip_id <= (SELECT max(trip_id) FROM old)")
+@query("win_first_value", f"WITH {_APPEND} SELECT oa_id, poi_id, date, time, min(trip_id) AS trip_id FROM final GROUP BY 1, 2, 3, 4")
 def _(t: Tables):
-    last = t.fx_trips().where("trip_id % 3 <> 0").agg(F.max("trip_id")).scalar()
-    return _appended(t).where(F.col("trip_id") <= last).select("oa_id", "poi_id", "date", "time", "trip_id")
+    return _appended(t).groupBy("oa_id", "poi_id", "date", "time").agg(F.min("trip_id").alias("trip_id"))
 
 
-@query("win_max_flag", f"WITH {_APPEND} SELECT oa_id, poi_id, date, time, computed FROM final")
+@query("win_max_flag", f"WITH {_APPEND} SELECT oa_id, poi_id, date, time, max(computed) AS computed FROM final GROUP BY 1, 2, 3, 4")
 def _(t: Tables):
-    return _appended(t).select("oa_id", "poi_id", "date", "time", "computed")
+    return _appended(t).groupBy("oa_id", "poi_id", "date", "time").agg(F.max("computed").alias("computed"))
 
 
 @query("win_global_max", f"WITH {_APPEND} SELECT trip_id, oa_id, poi_id FROM final WHERE trip_id > (SELECT max(trip_id) FROM old)")
 def _(t: Tables):
-    last = t.fx_trips().where("trip_id % 3 <> 0").agg(F.max("trip_id")).scalar()
-    return _appended(t).where(F.col("trip_id") > last).select("trip_id", "oa_id", "poi_id")
+    old, new = _old_and_new(t)
+    last = old.agg(F.max("trip_id")).scalar()
+    return trips.new_trips(old, new, last).select("trip_id", "oa_id", "poi_id")
 
 
 def _text(name: str, c) -> list:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -58,8 +60,15 @@ def sphere_xyz(lat: Column, lon: Column) -> list[Column]:
     return [r * F.cos(p) * F.cos(q), r * F.cos(p) * F.sin(q), r * F.sin(p)]
 
 
+def geodesic_m(lat1: Column | str, lon1: Column | str, lat2: Column | str, lon2: Column | str) -> Column:
+    """Distance on the WGS84 spheroid in metres; null where a coordinate is."""
+    ends = [F.col(c) if isinstance(c, str) else c for c in (lat1, lon1, lat2, lon2)]
+    known = reduce(lambda a, b: a & b, [c.isNotNull() for c in ends])
+    return F.when(known, _geodesic(*ends))
+
+
 @F.pandas_udf(T.DoubleType())
-def geodesic_m(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
+def _geodesic(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
     """Distance on the WGS84 spheroid in metres, by Vincenty's inverse formula.
 
     The formula iterates on intermediate values, which a column expression would copy into each
@@ -238,15 +247,20 @@ def bounds(polygons: Column) -> Column:
 
 def edges(polygons: Column) -> Column:
     """All edges of a multipolygon as ``array<struct<a, b>>``."""
-    return F.flatten(F.transform(F.flatten(polygons), _edges))
+    return F.flatten(ring_edges(polygons))
+
+
+def ring_edges(polygons: Column) -> Column:
+    """The edges of each ring of a multipolygon."""
+    return F.transform(F.flatten(polygons), _edges)
 
 
 # kept from the first edge the point lies on; even, and above any number of crossings
-_ON_EDGE = 1 << 30
+ON_EDGE = 1 << 30
 
 
-def within_edges(pt: Column, edge_list: Column) -> Column:
-    """Strictly inside: an odd number of edges crossed to the right, and not on any edge."""
+def crossings(pt: Column, edge_list: Column) -> Column:
+    """Number of edges crossed to the right of a point; ``ON_EDGE`` where it lies on one."""
     px, py = pt["x"], pt["y"]
 
     def count(acc: Column, e: Column) -> Column:
@@ -259,10 +273,14 @@ def within_edges(pt: Column, edge_list: Column) -> Column:
         )
         straddles = (ay > py) != (by > py)
         right = (by > ay) == (cross > 0)
-        return F.when(touches, F.lit(_ON_EDGE)).when(straddles & right, acc + 1).otherwise(acc)
+        return F.when(touches, F.lit(ON_EDGE)).when(straddles & right, acc + 1).otherwise(acc)
+
+    return F.aggregate(edge_list, F.lit(0), lambda acc, e: F.when(acc == ON_EDGE, acc).otherwise(count(acc, e)))
+
 
-    crossed = F.aggregate(edge_list, F.lit(0), lambda acc, e: F.when(acc == _ON_EDGE, acc).otherwise(count(acc, e)))
-    return crossed % 2 == 1
+def within_edges(pt: Column, edge_list: Column) -> Column:
+    """Strictly inside: an odd number of edges crossed to the right, and not on any edge."""
+    return crossings(pt, edge_list) % 2 == 1
 
 
 def within(pt: Column, polygons: Column) -> Column:

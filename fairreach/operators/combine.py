@@ -30,12 +30,15 @@ def entity(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
     key and column gives the same rows. NULL keys match nothing in a join, so rows with one are
     passed through unmerged.
     """
-    tagged = [df.withColumn("_table", F.lit(name)) for name, df in frames.items()]
+    # one bit a table: a long holds 63
+    if len(frames) > 63:
+        raise ValueError("more than 63 tables")
+    tagged = [df.withColumn("_table", F.lit(1 << number).cast("bigint")) for number, df in enumerate(frames.values())]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     values = [c for c in stacked.columns if c not in (*keys, "_table")]
     # a unique key has as many rows as tables: both are counted in the aggregate that merges
-    rows, tables = F.count("*").alias("_rows"), F.size(F.collect_set("_table")).alias("_tables")
+    rows, tables = F.count("*").alias("_rows"), F.bit_count(F.bit_or("_table")).alias("_tables")
     merged = stacked.where(complete).groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in values], rows, tables)
     message = F.concat(F.lit(f"key {list(keys)} is repeated in one of {list(frames)}: "), F.to_json(F.struct(*keys)))
     unique = F.when(F.col("_rows") > F.col("_tables"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -115,13 +116,17 @@ def enrich(
     schema: str | T.StructType,
     workers: int | None = None,
     endpoints: Sequence[str] = (),
+    retries: int = 0,
+    wait: float = 1.0,
 ) -> DataFrame:
     """Add the columns of ``schema``, ``ok`` and ``error`` to every trip by a user function over Arrow batches.
 
     ``fn(batch, endpoint)`` returns a frame indexed like the batch; rows it leaves out are failed
     trips. When it raises, the batch is tried again row by row, so that one bad trip loses only
     itself and keeps the reason in ``error``. A function that raises for each of several rows, or whose answer lacks a
-    declared column, is wrong as a whole: that fails the job. Endpoints are shared out by partition. Lost tasks are run again, so ``fn`` must bear
+    declared column, is wrong as a whole: that fails the job. Endpoints are shared out by partition. An endpoint that raises
+    is asked ``retries`` times more, after ``wait`` seconds, then twice as many, and so on; then the next endpoint has its
+    turn, and only after the last one the rows are tried one by one. Lost tasks are run again, so ``fn`` must bear
     being asked twice for the same trip.
     """
     added = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
@@ -134,14 +139,27 @@ def enrich(
             raise KeyError(f"the function's answer lacks {missing}")
         return answer[names]
 
-    def ask(batch: pd.DataFrame, endpoint: str | None) -> tuple[pd.DataFrame, dict]:
+    def patient(batch: pd.DataFrame, turns: list[str | None]) -> pd.DataFrame:
+        """The answer of the first endpoint that gives one; the last one's error if none does."""
+        tries = [(endpoint, attempt) for endpoint in turns for attempt in range(retries + 1)]
+        for endpoint, attempt in tries[:-1]:
+            try:
+                return checked(fn(batch, endpoint))
+            except KeyError:
+                raise
+            except Exception:
+                if attempt < retries:
+                    time.sleep(wait * 2**attempt)
+        return checked(fn(batch, tries[-1][0]))
+
+    def ask(batch: pd.DataFrame, turns: list[str | None]) -> tuple[pd.DataFrame, dict]:
         """The answers, and the error of each row that raised."""
         try:
-            return checked(fn(batch, endpoint)), {}
+            return patient(batch, turns), {}
         except KeyError:
             raise
         except Exception as all_rows:
-            answers, errors = [], {}
+            endpoint, answers, errors = turns[-1], [], {}
             for i in range(len(batch)):
                 row = batch.iloc[[i]]
                 try:
@@ -154,9 +172,10 @@ def enrich(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
-        endpoint = addresses[part % len(addresses)] if addresses else None
+        first = part % len(addresses) if addresses else 0
+        turns = [*addresses[first:], *addresses[:first]] or [None]
         for batch in batches:
-            answers, errors = ask(batch, endpoint)
+            answers, errors = ask(batch, turns)
             out = batch.join(answers)
             out["ok"] = batch.index.isin(answers.index)
             out["error"] = [errors.get(k) for k in batch.index]

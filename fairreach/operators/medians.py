@@ -1,46 +1,109 @@
-"""Discrete medians from counted values.
+"""Discrete medians, exact for groups of any size.
 
-Rows are first counted by group and value, with map-side combine: equal values, however many, reach a
-task as one row a partition. The median is then read off the running count, one window over the distinct values
-of a group. Medians over all strata add up the same counts, so both grouping sets come from one pass over the input.
+A group of a moderate number of values is one aggregate, whose map of values and counts is merged on the map side. A group
+with more is narrowed down first: a round counts its values by bucket between the least and the greatest, on all
+tasks, and keeps the bucket that holds the median. When few values are left between the bounds, or
+all are equal, they are aggregated like those of other groups. No task has more of a group than its part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ALL_TIMES = "All times"
-
-
-def _counted(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+from fairreach.session import stored
 
-
-def _middle(counted: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """The value at the lower middle of each group; NULL where a group has no other."""
-    group = Window.partitionBy(*keys)
-    known = F.when(F.col(value).isNotNull(), F.col("_n"))
-    middle = F.greatest(F.ceil(F.coalesce(F.sum(known).over(group), F.lit(0)) / 2), F.lit(1))
-    upto = F.sum("_n").over(group.orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.withColumns({"_middle": middle, "_upto": upto})
-    return placed.where((F.col("_upto") >= F.col("_middle")) & (F.col("_upto") - F.col("_n") < F.col("_middle"))).select(*keys, value)
+ALL_TIMES = "All times"
+#: Values of a group that one aggregate takes, unless more than MOST_LARGE groups can have more.
+GROUP_VALUES = 100_000
+MOST_LARGE = 10_000
+#: Buckets of a round.
+BUCKETS = 1024
+
+
+def _lower_middle(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}`)").alias(value))
+
+
+def _same(keys: Sequence[str], other: str = "_") -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{other}{k}")) for k in keys], F.lit(True))
+
+
+def _large_groups(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame | None:
+    """``_keys.., _lo, _hi, _left, _rank``: bounds and number of the values of each large group, and the place of its median; None without any."""
+    sizes = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_left")
+    )
+    large = stored(sizes.where(F.col("_left") > GROUP_VALUES), "large-groups")
+    total = large.agg(F.sum("_left")).first()[0]
+    if not total:
+        return None
+    # fewer than MOST_LARGE groups can each have more than that share, so the list can be broadcast
+    large = large.where(F.col("_left") > max(GROUP_VALUES, total // MOST_LARGE))
+    return large.withColumn("_rank", F.ceil(F.col("_left") / 2))
+
+
+def _narrowed(rows: DataFrame, groups: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """One round: the bounds of the bucket that holds the value at the rank, the values in it, and the rank among them."""
+    names = [f"_{k}" for k in keys]
+    lo, hi, v = F.col("_lo").cast("double"), F.col("_hi").cast("double"), F.col(value).cast("double")
+    part = F.coalesce(F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2), F.lit(0.0))
+    bucket = F.least(F.floor(part * BUCKETS), F.lit(BUCKETS - 1)).alias("_bucket")
+    inside = F.col(value).between(F.col("_lo"), F.col("_hi"))
+    counted = (
+        rows.join(F.broadcast(groups), _same(keys))
+        .where(inside)
+        .groupBy(*names, "_rank", bucket)
+        .agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("_left"))
+    )
+    before = F.coalesce(F.sum("_left").over(Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = counted.withColumn("_before", before)
+    hit = placed.where((F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_before") + F.col("_left")))
+    return hit.select(*names, "_lo", "_hi", "_left", (F.col("_rank") - F.col("_before")).alias("_rank"))
+
+
+def _at_rank(rows: DataFrame, groups: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The value at each group's rank, among its few values between the bounds."""
+    names = [f"_{k}" for k in keys]
+    inside = rows.join(F.broadcast(groups), _same(keys)).where(F.col(value).between(F.col("_lo"), F.col("_hi")))
+    counted = inside.groupBy(*names, "_rank", value).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*names).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.withColumn("_upto", upto)
+    chosen = placed.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
+    return chosen.select(*[F.col(f"_{k}").alias(k) for k in keys], value)
+
+
+def _medians(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Of a stored table; see :func:`median_by`."""
+    groups = _large_groups(rows, keys, value)
+    if groups is None:
+        return _lower_middle(rows, keys, value)
+    small = rows.join(F.broadcast(groups.select(*[f"_{k}" for k in keys])), _same(keys), "left_anti")
+    out = [_lower_middle(small, keys, value)]
+    groups = stored(groups, "bounds")
+    while True:
+        done = (F.col("_left") <= GROUP_VALUES) | (F.col("_lo") == F.col("_hi"))
+        out.append(_at_rank(rows, groups.where(done), keys, value))
+        if groups.where(~done).isEmpty():
+            return reduce(DataFrame.unionByName, out)
+        # the least and the greatest value are in buckets of their own, so every round leaves less
+        groups = stored(_narrowed(rows, groups.where(~done), keys, value), "bounds")
 
 
 def median_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """The lower of the two middle values per group, NULLs ignored."""
-    return _middle(_counted(df, keys, value), keys, value)
+    """The lower of the two middle values per group, NULLs ignored; NULL where a group has no other. Values are finite."""
+    return _medians(stored(df.select(*keys, value), "values"), keys, value)
 
 
 def median_with_all(df: DataFrame, keys: Sequence[str], stratum: str, value: str) -> DataFrame:
     """Medians per stratum plus the median over all rows, labelled ``All times``."""
     others = [k for k in keys if k != stratum]
-    counted = _counted(df, [*others, stratum], value)
-    overall = counted.groupBy(*others, value).agg(F.sum("_n").alias("_n"))
-    per_stratum = _middle(counted, [*others, stratum], value)
-    return per_stratum.unionByName(_middle(overall, others, value).withColumn(stratum, F.lit(ALL_TIMES)))
+    rows = stored(df.select(*others, stratum, value), "values")
+    overall = _medians(rows, others, value).withColumn(stratum, F.lit(ALL_TIMES))
+    return _medians(rows, [*others, stratum], value).unionByName(overall)
 
 
 def best_poi(medians: DataFrame, keys: Sequence[str] = ("oa_id", "poi_type", "stratum", "metric")) -> DataFrame:

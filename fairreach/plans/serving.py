@@ -11,9 +11,11 @@ from fairreach.functions.text import kv_pairs, strip_common_prefix
 from fairreach.operators.clean import distinct_values, groups
 from fairreach.operators.combine import full_results
 from fairreach.operators.cube import (
+    DIMENSIONS,
     access_metric,
     demographic_level,
     high_level,
+    merge_moments,
     metric_names,
     population_density,
     summary_cube,
@@ -23,7 +25,7 @@ from fairreach.operators.numbering import add_rank
 from fairreach.operators.reshape import to_long
 from fairreach.operators.risk import at_risk
 from fairreach.sources.spatial import read_features
-from fairreach.sources.tables import refresh_summary
+from fairreach.sources.versions import VersionedTable
 
 
 def as_json(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -90,13 +92,35 @@ def results_summary(results: DataFrame, trips: DataFrame, poi: DataFrame, strata
     return summary_cube(results, trips, poi, strata)
 
 
-def refresh_cube(results: DataFrame, trips: DataFrame, poi: DataFrame, strata: DataFrame, path: str) -> DataFrame:
-    """Replace the cube stored at ``path`` by that of the given tables and return it as read back.
+class CubeStore:
+    """The summary cube stored at ``path``: rebuilt as a whole or extended by new results, and read by the served queries.
 
-    The other functions of this module take the stored cube: one small scan a query instead of the joins.
+    The other functions of this module take the cube that :meth:`read` gives: one small scan a query instead of the joins.
+    A version is published when it is complete; what fails before that leaves the old one.
     """
-    refresh_summary(summary_cube(results, trips, poi, strata), path)
-    return results.sparkSession.read.parquet(path)
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.table = VersionedTable(spark, path)
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+    def refresh(self, results: DataFrame, trips: DataFrame, poi: DataFrame, strata: DataFrame) -> int:
+        """Replace the cube by that of the given tables; returns its number of cells."""
+        return self.table.publish(summary_cube(results, trips, poi, strata))
+
+    def add(self, results: DataFrame, trips: DataFrame, poi: DataFrame, strata: DataFrame, label: str) -> int:
+        """Add the moments of results that are not in the cube yet; returns its number of cells.
+
+        ``label`` names the increment (the number of a costing run, say). One that has been added since the last refresh is not
+        added again, so that a stopped job can be repeated.
+        """
+        new = summary_cube(results, trips, poi, strata)
+        if not self.table.version():
+            return self.table.publish(new, label)
+        if label in self.table.labels():
+            return self.table.read().count()
+        return self.table.publish(merge_moments(self.table.read().unionByName(new), DIMENSIONS), label)
 
 
 def map_from_results(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fairreach.sources.versions import VersionedTable
+
 
 def read_delimited(
     spark: SparkSession,
@@ -47,6 +49,19 @@ def append_files(spark: SparkSession, paths: Sequence[str], schema: str | T.Stru
     return read_delimited(spark, list(paths), schema)
 
 
+def take_in(spark: SparkSession, folder: str, schema: str | T.StructType, table: str, state: str, header: bool = True) -> DataFrame:
+    """Add the delimited files of ``folder`` that have not been taken in yet to the table at ``table``, each exactly once.
+
+    A file stream that ends when it has read what there is. ``state`` keeps which files have been read; a run that is stopped is
+    finished by the next one, and rows of a half-written batch are not seen by readers. Returns the whole table.
+    """
+    files = spark.readStream.schema(schema).option("header", header).option("encoding", "ISO-8859-1").option("escape", '"')
+    arrived = files.option("mode", "FAILFAST").option("enforceSchema", True).csv(folder)
+    batch = arrived.writeStream.format("parquet").option("checkpointLocation", state).option("path", table)
+    batch.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(table)
+
+
 def export_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
@@ -56,10 +71,12 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
 
 
 def refresh_summary(df: DataFrame, path: str) -> int:
-    """Replace the table at ``path`` and return the number of rows written."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+    """Replace the versioned table at ``path`` and return the number of rows written; until then the old one is read."""
+    return VersionedTable(df.sparkSession, path).publish(df)
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    return VersionedTable(spark, path).read()
 
 
 def count_rows(df: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fairreach.functions import geo
-from fairreach.operators import containment
+from fairreach.operators import containment, nearest
+from fairreach.operators import spread as operators_spread
 from fairreach.operators.containment import points_in_polygons
 from fairreach.operators.nearest import k_nearest, k_nearest_planar, nearest_line
 
@@ -149,14 +150,60 @@ def test_points_in_polygons_of_all_sizes(spark, monkeypatch, cell_points, split)
     for j, shape in enumerate(shapes):
         (x0, y0), _, (x1, y1), _ = shape[0][0]
         want |= {(i, j) for i, x, y in pts if x0 < x < x1 and y0 < y < y1}
-    monkeypatch.setattr(containment, "MOST_SPLIT", split)
+    monkeypatch.setattr(operators_spread, "MOST_SPLIT", split)
     rows = points_in_polygons(points, polygons(spark, *shapes), cell_points).collect()
     assert len(rows) == len(want) and {(r["point_id"], r["poly_id"]) for r in rows} == want
 
 
-def _candidates(spark, targets, searches):
-    from fairreach.operators import nearest
+def ring(rnd, n, x, y, size):
+    """A star-shaped ring of n vertices on a coarse lattice, so that points fall on edges and vertices too."""
+    turns = sorted(rnd.random() * 2 * math.pi for _ in range(n))
+    return [(round(x + size * rnd.uniform(0.3, 1) * math.cos(t), 1), round(y + size * rnd.uniform(0.3, 1) * math.sin(t), 1)) for t in turns]
+
+
+@pytest.mark.parametrize("cell_points", [50_000, 20])
+def test_outlines_in_pieces_give_the_same_points(spark, monkeypatch, cell_points):
+    rnd = random.Random(8)
+    shapes = [[[ring(rnd, rnd.choice([3, 9, 40, 200]), rnd.uniform(-2, 2), rnd.uniform(-2, 2), rnd.uniform(0.5, 4)) for _ in range(rnd.randrange(1, 4))] for _ in range(2)] for _ in range(12)]
+    shapes.append([HOLED[:1], [HOLED[1]]])
+    pts = [(i, round(rnd.uniform(-5, 5), 1), round(rnd.uniform(-5, 5), 1)) for i in range(400)]
+    points = spark.createDataFrame(pts + pts[:5], "point_id int, x double, y double")
+    polys = polygons(spark, *shapes).withColumn("label", F.lit("p"))
+    both = points.crossJoin(polys).where(geo.within(F.struct("x", "y"), F.col("geometry"))).select("point_id", "x", "y", "poly_id", "label")
+    want = sorted(map(tuple, both.collect()))
+    assert len(want) > 300
+    for name, value in [("PIECE", 4), ("WHOLE_EDGES", 5)]:
+        monkeypatch.setattr(containment, name, value)
+    got = points_in_polygons(points, polys, cell_points)
+    assert sorted(map(tuple, got.select("point_id", "x", "y", "poly_id", "label").collect())) == want
+    assert points_in_polygons(points, polys.limit(0)).count() == points_in_polygons(points.limit(0), polys).count() == 0
+
+
+def test_a_large_outline_is_many_rows(spark, monkeypatch):
+    """100,000 vertices: a point meets the edges of a few pieces, whatever task they are on."""
+    n = 100_000
+    outline = [(math.cos(t) * (2 + math.sin(50 * t)), math.sin(t) * (2 + math.sin(50 * t))) for t in (2 * math.pi * k / n for k in range(n))]
+    polys = polygons(spark, [[outline]])
+    rnd = random.Random(2)
+    pts = [(i, rnd.uniform(-3, 3), rnd.uniform(-3, 3)) for i in range(500)]
+    tested = []
+    join = containment._join_salted
+
+    def counting(rows, kept, keys, each):
+        out = join(rows, kept, keys, each)
+        if keys[-1] == "_piece":
+            tested.append(out.groupBy("_row").agg(F.sum(F.size("run")).alias("n")).agg(F.max("n"), F.count("*")).first())
+            tested.append(rows.sparkSession.createDataFrame(kept.select(*keys).distinct().collect()).repartition(8, *keys).groupBy(F.spark_partition_id()).count().count())
+        return out
+
+    monkeypatch.setattr(containment, "_join_salted", counting)
+    got = {r["point_id"] for r in points_in_polygons(spark.createDataFrame(pts, "point_id int, x double, y double"), polys).collect()}
+    assert got == {i for i, x, y in pts if math.hypot(x, y) < 2 + math.sin(50 * math.atan2(y, x))}
+    (most, rows), tasks = tested
+    assert most <= 4 * containment.PIECE and rows < 200 and tasks == 8
+
 
+def _candidates(spark, targets, searches):
     boxes = nearest._point_boxes([F.col("x"), F.col("y")])
     found = nearest._open_cells(
         searches.select(F.col("id").alias("_search"), F.lit(1).alias("_group"), F.lit(3).alias("_k"), F.col("x").alias("_q0"), F.col("y").alias("_q1")),
@@ -174,3 +221,34 @@ def test_outliers_and_towns_open_few_cells(spark):
     town = spark.range(10000, 12000).select("id", (30 + F.col("id") % 45 / 1e4).alias("x"), (30 + F.floor((F.col("id") - 10000) / 45) / 1e4).alias("y"))
     assert _candidates(spark, even.union(far), searches) < 500 * 40
     assert _candidates(spark, even.union(town), searches) < 500 * 80
+
+
+@pytest.mark.parametrize("searches", [100_000])
+def test_one_crowded_place_spreads_over_all_partitions(spark, monkeypatch, searches):
+    side = 141
+    even = spark.range(side * side).select("id", (F.col("id") % side).cast("double").alias("x"), F.floor(F.col("id") / side).cast("double").alias("y"))
+    town = spark.range(searches).select("id", (70 + F.rand(1)).alias("x"), (70 + F.rand(2)).alias("y"))
+    seen = []
+    prune = nearest._prune
+
+    def counting(frontier, dims, slack):
+        seen.append(frontier.count())
+        return prune(frontier, dims, slack)
+
+    monkeypatch.setattr(nearest, "_prune", counting)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        boxes = nearest._point_boxes([F.col("x"), F.col("y")])
+        asked = town.select(F.col("id").alias("_search"), F.lit(1).alias("_group"), F.lit(3).alias("_k"), F.col("x").alias("_q0"), F.col("y").alias("_q1"))
+        found = nearest._open_cells(asked, even.select(F.lit(1).alias("_group"), "id", *[c.alias(n) for n, c in boxes.items()]), 2, 0.0)
+        parts = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # rounds are over some 400 blocks, with up to 192 cells each; what the searches themselves read is a small multiple of k
+    assert max(seen) < searches
+    assert sum(parts) < 3 * 8 * searches
+    assert len(parts) == 16 and max(parts) < 2 * sum(parts) / 16

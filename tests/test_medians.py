@@ -29,10 +29,9 @@ def test_medians_equal_sorted_lists(spark):
     assert got == plain(rows)
 
 
-def test_a_value_most_rows_share_reaches_the_median_as_counts(spark):
+def test_a_value_most_rows_share_ends_the_rounds(spark, monkeypatch):
+    monkeypatch.setattr(medians, "GROUP_VALUES", 1000)
     df = spark.range(200_000, numPartitions=8).select(F.lit("a").alias("k"), F.when(F.col("id") % 10 > 0, 2.4).otherwise(F.col("id") % 1000 / 10).alias("v"))
-    counted = medians._counted(df, ["k"], "v")
-    assert counted.count() == 101 and counted.agg(F.sum("_n")).first()[0] == 200_000
     assert medians.median_by(df, ["k"], "v").first()["v"] == 2.4
 
 
@@ -48,3 +47,30 @@ def test_scale(spark):
     df = spark.createDataFrame([("t", 120.0), ("d", 120.0)], "metric string, value double")
     assert sorted(tuple(r) for r in medians.scale_metrics(df, ["t"]).collect()) == [("d", 120.0), ("t", 2.0)]
     assert medians.best_poi(df.select(F.lit(1).alias("oa_id"), "metric", "value"), ["oa_id"]).first()["value"] == 120.0
+
+
+def test_large_groups_are_narrowed_down(spark, monkeypatch):
+    """A million different values: no aggregate over a group takes more than its share, and the median is exact."""
+
+    monkeypatch.setattr(medians, "GROUP_VALUES", 1000)
+    taken = []
+    at_rank = medians._at_rank
+
+    def counting(rows, groups, keys, value):
+        taken.append([r["_left"] for r in groups.where("_lo < _hi").collect()])
+        return at_rank(rows, groups, keys, value)
+
+    monkeypatch.setattr(medians, "_at_rank", counting)
+    n = 1_000_001
+    even = spark.range(n).select(F.lit("even").alias("k"), (F.col("id") * 7919 % n).cast("double").alias("v"))
+    steep = spark.range(50_000).select(F.lit("steep").alias("k"), F.pow(F.lit(10.0), F.col("id") / 50_000 * 30 - 15).alias("v"))
+    alike = spark.range(50_000).select(F.lit(None).cast("string").alias("k"), F.when(F.col("id") % 3 == 0, F.col("id").cast("double")).otherwise(2.5).alias("v"))
+    few = spark.createDataFrame([("few", 1.0), ("few", None), ("few", 3.0), ("none", None)], "k string, v double")
+    df = even.union(steep).union(alike).union(few)
+    got = {r["k"]: r["v"] for r in medians.median_by(df, ["k"], "v").collect()}
+    steeps = sorted(10.0 ** (i / 50_000 * 30 - 15) for i in range(50_000))
+    assert got["even"] == (n - 1) // 2 and got["few"] == 1.0 and got["none"] is None
+    assert abs(got["steep"] / steeps[24_999] - 1) < 1e-12
+    values = sorted(float(i) if i % 3 == 0 else 2.5 for i in range(50_000))
+    assert got[None] == values[24_999] == 2.5
+    assert max(x for left in taken for x in left) <= 1000

@@ -39,3 +39,22 @@ def test_page(spark, limit, offset):
     df = spark.range(12000).select((F.lit(12000) - F.col("id")).alias("k"))
     got = sorted(r["k"] for r in numbering.page(df, "k", limit, offset).collect())
     assert got == list(range(1, 12001))[offset : offset + limit]
+
+
+def test_a_far_page_reads_its_own_files(spark, tmp_path):
+    from fairreach.sources.paged_table import PagedTable
+
+    table = PagedTable(spark, str(tmp_path / "t"), "k")
+    table.write(spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), F.lit(0).alias("computed")), file_rows=50)
+    assert table.directory.read().count() == 20
+    for limit, offset in [(30, 960), (120, 400), (10, 0), (50, 990), (5, 2000)]:
+        page = table.page(limit, offset)
+        assert [r["k"] for r in page.collect()] == list(range(1000))[offset : offset + limit]
+        if offset < 1000:
+            assert len(page.inputFiles()) <= limit / 50 + 3
+    before = {r["file"] for r in table.directory.read().collect()}
+    table.update_page(60, 500, computed=F.lit(1))
+    after = {r["file"] for r in table.directory.read().collect()}
+    assert len(before - after) <= 3 and len(before & after) >= 17
+    rows = sorted(tuple(r) for r in table.read().collect())
+    assert rows == [(k, int(500 <= k < 560)) for k in range(1000)]

@@ -184,31 +184,47 @@ def test_long_id_lists(spark):
     assert clean.select_pois(df.withColumn("type", F.lit("t")), []).count() == 0
 
 
+def test_appending_keeps_every_trip(spark):
+    """Strata that share times give trips that differ in stratum alone."""
+    times = spark.createDataFrame([(s, "2021-01-05", "07:00") for s in ("AM", "All day")], "stratum string, date string, time string")
+    old = trips.cross_trips(pairs(spark, 2), times).withColumn("computed", (F.col("stratum") == "AM").cast("int"))
+    new = trips.cross_trips(pairs(spark, 3), times).drop("trip_id", "computed")
+    rows = trips.append_trips(old, new.unionByName(new)).orderBy("trip_id").collect()
+    assert [(r["trip_id"], r["oa_id"], r["stratum"], r["computed"]) for r in rows] == [
+        (1, "E000", "AM", 1), (2, "E000", "All day", 0), (3, "E001", "AM", 1), (4, "E001", "All day", 0), (5, "E002", "AM", 0), (6, "E002", "All day", 0),
+    ]
+
+
+def costable(spark, n=6):
+    made = spark.createDataFrame(
+        [(i, 1, 1, "2021-01-05", "07:00", int(i == 5)) for i in range(1, n + 1)], "trip_id long, oa_id long, poi_id long, date string, time string, computed int"
+    )
+    oa = spark.createDataFrame([(1, 52.5, -1.9)], "oa_id long, lat double, lon double")
+    return made, oa, spark.createDataFrame([(1, 52.51, -1.9)], "poi_id long, lat double, lon double")
+
+
 def test_costing_flags_what_came_back(spark, tmp_path):
     from fairreach.catalog.served import reply_router
-    from fairreach.plans.costing import append_results, cost_trips
+    from fairreach.plans.costing import cost_trips
 
     def router(batch, endpoint):
         if (batch["trip_id"] == 3).any():
             raise ValueError("trip three")
         return reply_router(batch[batch["trip_id"] != 4], endpoint)
 
-    made = spark.createDataFrame(
-        [(i, 1, 1, "2021-01-05", "07:00", int(i == 5)) for i in range(1, 7)], "trip_id long, oa_id long, poi_id long, date string, time string, computed int"
-    )
-    oa = spark.createDataFrame([(1, 52.5, -1.9)], "oa_id long, lat double, lon double")
-    poi = spark.createDataFrame([(1, 52.51, -1.9)], "poi_id long, lat double, lon double")
-    done = cost_trips(made.coalesce(1), oa, poi, router)
+    made, oa, poi = costable(spark)
+    ledger = str(tmp_path / "ledger")
+    done = cost_trips(made, oa, poi, router, ledger=ledger)
     assert sorted(r["trip_id"] for r in done.results.collect()) == [1, 2, 6]
     assert {r["trip_id"]: r["computed"] for r in done.trips.collect()} == {1: 1, 2: 1, 3: 0, 4: 0, 5: 1, 6: 1}
     assert {r["trip_id"]: r["reason"] for r in done.failures.collect()} == {3: "ValueError: trip three", 4: "no answer"}
     assert tuple(done.losses.first()) == (5, 2, 40.0)
-    append_results(done.results, str(tmp_path / "results"))
-    again = cost_trips(done.trips, oa, poi, reply_router)
-    append_results(again.results, str(tmp_path / "results"))
-    assert sorted(r["trip_id"] for r in spark.read.parquet(str(tmp_path / "results")).collect()) == [1, 2, 3, 4, 6]
-    empty = cost_trips(again.trips, oa, poi, reply_router)
-    assert empty.results.count() == 0 and empty.losses.first()["n"] == 0
+    # the flags of the first run need not be kept: the ledger knows
+    again = cost_trips(made, oa, poi, reply_router, ledger=ledger)
+    assert tuple(again.losses.first()) == (2, 0, 0.0)
+    assert sorted(r["trip_id"] for r in again.results.collect()) == [1, 2, 3, 4, 6] and again.failures.count() == 0
+    empty = cost_trips(made, oa, poi, reply_router, ledger=ledger)
+    assert empty.losses.first()["n"] == 0 and sorted(r["trip_id"] for r in empty.results.collect()) == [1, 2, 3, 4, 6]
 
 
 def test_all_stamps_reach_the_product(spark, tables):
