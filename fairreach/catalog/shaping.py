@@ -180,7 +180,7 @@ def _appended(t: Tables):
 def _(t: Tables):
     """The stored table: loaded once, then extended."""
     old, new = _old_and_new(t)
-    kept = TripTable(t.spark, scratch_path(t.spark, "trips"), types={"oa_id": "bigint"})
+    kept = TripTable(t.spark, scratch_path(t.spark, "trips"), buckets=16, types={"oa_id": "bigint"})
     kept.load(old)
     kept.append(new)
     return kept.read()

@@ -1,9 +1,9 @@
 """Discrete medians, exact for groups of any size.
 
-A group of a moderate number of values is one aggregate, whose map of values and counts is merged on the map side. A group
+A group of a moderate number of values is sorted in its task and its middle is read off. A group
 with more is narrowed down first: a round counts its values by bucket between the least and the greatest, on all
 tasks, and keeps the bucket that holds the median. When few values are left between the bounds, or
-all are equal, they are aggregated like those of other groups. No task has more of a group than its part.
+all are equal, they are sorted like those of other groups. No task has more of a group than its part.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fairreach.session import stored
 
 ALL_TIMES = "All times"
-#: Values of a group that one aggregate takes, unless more than MOST_LARGE groups can have more.
+#: Values of a group that one task sorts, unless more than MOST_LARGE groups can have more.
 GROUP_VALUES = 100_000
 MOST_LARGE = 10_000
 #: Buckets of a round.
@@ -25,7 +25,11 @@ BUCKETS = 1024
 
 
 def _lower_middle(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}`)").alias(value))
+    """One shuffle by group, one sort by group and value."""
+    group = Window.partitionBy(*keys)
+    at, known = F.row_number().over(group.orderBy(F.col(value).asc_nulls_last())), F.count(value).over(group)
+    placed = df.select(*keys, value, at.alias("_at"), known.alias("_known"))
+    return placed.where(F.col("_at") == F.greatest(F.ceil(F.col("_known") / 2), F.lit(1))).select(*keys, value)
 
 
 def _same(keys: Sequence[str], other: str = "_") -> Column:
