@@ -175,19 +175,56 @@ def test_lm_base_equals_plain_counts(spark, monkeypatch, frequent):
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
 
 
-def test_filter_keeps_quantised_counts(spark):
+def test_filter_keeps_quantised_counts():
     rng = np.random.default_rng(5)
-    h = rng.integers(-(1 << 62), 1 << 62, 20_000)
+    h = rng.integers(0, 1 << 63, 20_000).view(np.uint64) * np.uint64(2)
     n = rng.integers(1, 5_000, 20_000)
-    rows = spark.createDataFrame(list(zip(h.tolist(), n.tolist())), "h long, n long")
-    entries = int(ngram_lm.quantise(n).sum())
-    stored = ngram_lm._store(rows, entries)
-    assert ngram_lm.quantise(np.array([1, 2, 3, 4, 7, 8])).tolist() == [1, 2, 2, 3, 3, 4]
-    got = stored.counts(h.view(np.uint64))
     want = ngram_lm.quantise(n)
+    stored = ngram_lm.Filter(ngram_lm.blocks_for(int(want.sum())))
+    stored.put(h, want)
+    assert ngram_lm.quantise(np.array([1, 2, 3, 4, 7, 8])).tolist() == [1, 2, 2, 3, 3, 4]
+    got = stored.counts(h)
     assert (got >= want).all() and (got > want).mean() < 0.05
-    other = rng.integers(-(1 << 62), 1 << 62, 20_000).view(np.uint64)
-    assert (stored.counts(other) > 0).mean() < 0.05
+    assert (stored.counts(h + np.uint64(1)) > 0).mean() < 0.05
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(6)
+    for values in (np.zeros(0, np.uint64), np.zeros(3, np.uint64), rng.integers(0, 1 << 63, 50).astype(np.uint64), np.array([2**64 - 1, 0, 255, 256], np.uint64)):
+        assert ngram_lm.unpack(ngram_lm.pack(values), len(values)).tolist() == values.tolist()
+    h, c = ngram_lm.summed(np.array([5, 2, 5, 9], np.uint64), np.array([1, 2, 3, 4]))
+    assert (h.tolist(), c.tolist()) == ([2, 5, 9], [2, 4, 4])
+
+
+@pytest.mark.parametrize("most_bits", [None, 1 << 18])
+def test_lm_score_equals_plain_dictionaries(spark, monkeypatch, messy, most_bits):
+    """Quantised counts in dictionaries, over whole documents."""
+    monkeypatch.setattr(ngram_lm, "BITS_PER_ENTRY", 256)  # few false hits
+    monkeypatch.setattr(ngram_lm, "RANGE_BYTES", 200_000)
+    monkeypatch.setattr(ngram_lm, "CHUNK_BYTES", 300_000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(messy.select("doc_id", "text"))
+    tokens = [(r.doc_id, [*(w.encode() for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in r.text or "").translate({k: 32 for k in (9, 10, 11, 12, 13)}).split(" ") if w), b""]) for r in docs.collect()]
+    learnt = [w for i, w in tokens if i is not None and zlib.crc32(str(i).encode()) % 10]
+    count, pairs = Counter(w for ws in learnt for w in ws), Counter(p for ws in learnt for p in zip([b"", *ws], ws))
+    total, distinct = sum(count.values()), len(count)
+    least = lambda c: 2 ** (c.bit_length() - 1) if c else 0
+    most = lambda c: 2 ** c.bit_length() - 1
+
+    def plain(ws):
+        out = 0.0
+        for v, w in zip([b"", *ws], ws):
+            low, high = (count[w], count[w]) if w == b"" else (least(count[w]), most(count[w]))
+            above = count[b""] if v == b"" else most(count[v])
+            single = (low + 0.1) / (total + 0.1 * (distinct + 1))
+            out += math.log10((min(least(pairs[v, w]), above) + ngram_lm.PRIOR * single) / (above + ngram_lm.PRIOR))
+        return out
+
+    model, words = ngram_lm.train(docs.where(ngram_lm.id_remainder("doc_id", 10) > 0), most_bits)
+    assert (model.parts > 3) == (most_bits is not None)
+    got = sorted((str(r.doc_id), round(r.score, 3)) for r in ngram_lm.score(docs, model, words).collect())
+    want = sorted((str(i), round(plain(ws), 3)) for i, ws in tokens)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=2e-3)
 
 
 def test_lm_probabilities_add_up(spark):
