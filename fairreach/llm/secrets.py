@@ -6,8 +6,8 @@ least total over all ways to cut is found by dynamic programming over the value'
 ``hard`` is reported. So placeholders and words are left alone, however long, and random strings are found, however short they are
 for the patterns.
 
-The attacker's words are counted over all texts and ranked; the WORDS most frequent (beside a fixed list of password words) are
-broadcast, a documented bound. Cost grows with the length of a value, not its square: a word has at most LONGEST_WORD letters, and
+The attacker's words are counted over all texts and ranked; the most frequent, at most WORDS (beside a fixed list of password words),
+are broadcast, a documented bound. Cost grows with the length of a value, not its square: a word has at most LONGEST_WORD letters, and
 repeats and walks are extended as far as they go from each place once.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from fairreach.llm.common import fresh, slices, split_coded, table
 from fairreach.llm.registry import query
+from fairreach.session import stored
 
 #: Words of the corpus that an attacker tries, most frequent first, and the lengths of those.
 WORDS, SHORTEST_WORD, LONGEST_WORD = 1 << 16, 3, 24
@@ -154,7 +155,10 @@ _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 el
 
 
 def frequent_words(docs: DataFrame, most: int = WORDS) -> list[str]:
-    """The ``most`` most frequent words of all texts (ties by word), of SHORTEST_WORD to LONGEST_WORD letters, A-Z in lower case."""
+    """The frequent words of all texts, of SHORTEST_WORD to LONGEST_WORD letters, A-Z in lower case; by falling count, then word.
+
+    Frequent are words that occur 2**k times or more, with the least k that leaves ``most`` words or fewer.
+    """
 
     def send(counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
@@ -174,8 +178,15 @@ def frequent_words(docs: DataFrame, most: int = WORDS) -> list[str]:
 
     rows = docs.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     word = F.col("word").cast("string").alias("word")
-    rows = rows.select(word, "n").where(F.length("word").between(SHORTEST_WORD, LONGEST_WORD))
-    return [r["word"] for r in rows.orderBy(F.desc("n"), "word").limit(most).collect()]
+    rows = stored(rows.select(word, "n").where(F.length("word").between(SHORTEST_WORD, LONGEST_WORD)), "words")
+    # the least power of two that at most so many words reach, from one row for each power
+    sizes = dict(rows.groupBy(F.expr("cast(floor(log2(n)) as int)").alias("k")).count().collect())
+    above, k = 0, max(sizes, default=0) + 1
+    while k and above + sizes.get(k - 1, 0) <= most:
+        k -= 1
+        above += sizes.get(k, 0)
+    found = rows.where(F.col("n") >= 2**k).collect()
+    return [r["word"] for r in sorted(found, key=lambda r: (-r["n"], r["word"]))]
 
 
 def find_secrets(docs: DataFrame, guesser: Guesser, hard: float = HARD, name: str = "secrets") -> DataFrame:

@@ -291,8 +291,9 @@ def test_values_in_context():
 
 def test_frequent_words(spark, monkeypatch):
     monkeypatch.setattr(secrets, "MOST_WORDS", 2)
-    docs = spark.createDataFrame([(t,) for t in ["One two, TWO three", "three1three ab", None, "", "é" * 30, "éé1ééé"]], "text string")
-    assert secrets.frequent_words(docs, 3) == ["three", "two", "one"]
+    docs = spark.createDataFrame([(t,) for t in ["One two, TWO three one", "three1three ab two", None, "", "é" * 30, "éé1ééé two"]], "text string")
+    assert secrets.frequent_words(docs, 1) == ["two"]
+    assert secrets.frequent_words(docs, 2) == ["two"] and secrets.frequent_words(docs, 3) == ["two", "three", "one"]
     assert secrets.frequent_words(docs, 100)[3:] == ["ééé"]
     assert secrets.frequent_words(docs.where("false")) == []
 
