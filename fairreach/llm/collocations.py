@@ -415,12 +415,13 @@ def collocations(docs: DataFrame, longest: int = 4, least: int = 30, absorbed: i
     named = named.groupBy("lang", "whole", "a", "cut").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("parts"))
     phrase = F.array_join(F.transform("parts", lambda x: x["word"]), " ").alias("phrase")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    out = named.select("lang", phrase, "a", "cut.l", "cut.r", "cut.score").join(totals, "lang")
-    columns = ["lang", "phrase", "a", "l", "r", "n", "score"]
+    out = named.select("lang", phrase, "a", "cut.l", "cut.r", "cut.score")
+    columns = ["phrase", "a", "l", "r", "n", "score"]
     if top is None:
-        return out.select(columns)
+        return out.join(totals, "lang").select("lang", *columns)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("lang", "rank", *columns[1:])
+    best = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return best.join(totals, "lang").select("lang", "rank", *columns)
 
 
 ORACLE = r"""

@@ -1,17 +1,15 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is cut into overlapping windows of 32 words, 24 apart; its score is that of its highest window. A word
-enters as two vectors: its own, and that of its characters. Both rest on the sample's evidence: how much more often the
-word, or a run of five characters, occurs in toxic than in other texts; characters carry it over to forms of a word that the
-sample lacks. Two gated recurrent layers read each window in both directions, attention pools their states, and a logistic
-unit scores the pool. Training sees whole texts: the highest window of each sampled text takes the text's label; it is
-picked anew from time to time.
+A text is cut into overlapping windows of 32 words, 16 apart; its score is that of its highest window. A word
+enters as two vectors: its own, and that of its characters, the mean and the highest of the runs of five that it is made of. Both
+begin as the sample's evidence (how much more often the word, or the run, stands in toxic than in other texts) and are
+trained with the network; characters carry the evidence over to forms of a word that the sample lacks. Two gated recurrent layers
+read each window in both directions, attention pools their states, and a logistic unit scores the pool. Training sees whole
+texts: the highest window of each sampled text takes the text's label; it is picked anew from time to time.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,11 +19,14 @@ from fairreach.llm.common import ALNUM, append_columns, fresh, id_remainder, ran
 from fairreach.llm.registry import query
 
 #: Labelled texts that the network is fitted on at most, of each label; those with the lowest hash of their id.
-SAMPLE_TOXIC, SAMPLE_OTHER = 700, 1_500
-WINDOW, STRIDE = 32, 24
-HIDDEN, WIDTH = 8, 2
+SAMPLE_TOXIC, SAMPLE_OTHER = 700, 2_700
+WINDOW, STRIDE = 32, 16
+HIDDEN, WIDTH = 12, 2
 VOCABULARY, CHAR_BUCKETS = 8_192, 1 << 17
-PICKS, STEPS, BATCH, RATE = 2, 120, 64, 0.01
+PICKS, STEPS, BATCH, RATE = 4, 200, 64, 0.01
+INPUT_RATE = 0.01
+#: What a text says more often counts so often in the evidence.
+TIMES = 3
 THRESHOLD = 0.3
 #: Windows scored at once.
 _AT_ONCE = 1_024
@@ -41,12 +42,12 @@ def _chars(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return mixed[codes[2:-2] != 32].astype(np.int64), np.fromiter(map(len, words), np.int64, len(words))
 
 
-def _windows(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(starts: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, first word and length of every window; a text without words has one of length 0."""
     sizes = np.diff(starts)
-    many = np.maximum(1, -(-(sizes - WINDOW) // STRIDE) + 1)
+    many = np.maximum(1, -(-(sizes - WINDOW) // stride) + 1)
     text = np.repeat(np.arange(len(sizes)), many)
-    offset = STRIDE * (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many))
+    offset = stride * (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many))
     return text, starts[:-1][text] + offset, np.minimum(WINDOW, sizes[text] - offset)
 
 
@@ -132,12 +133,12 @@ class Network:
             keep.update(states=states, seen=seen, weight=weight, pooled=pooled, kept=kept)
         return pooled @ self.w["out"] + self.w["out_b"][0]
 
-    def logits(self, coded: tuple) -> tuple[np.ndarray, tuple]:
+    def logits(self, coded: tuple, stride: int | None = None) -> tuple[np.ndarray, tuple]:
         """Logit of every window of coded texts, and (text, first word, length) of the windows."""
         words, flat, starts = coded
         x = self.inputs(words)
         project = {d: self.project(x, d) for d in "fb"}
-        text, first, size = _windows(starts)
+        text, first, size = _windows(starts, stride or STRIDE)
         codes = np.append(flat, len(words))
         out = np.empty(len(text), np.float32)
         full = size == WINDOW
@@ -188,6 +189,7 @@ class Network:
         g["att"] = np.tensordot(states, d_seen, ((0, 1), (0, 1)))
         g["att_b"] = d_seen.sum((0, 1))
         d_states = weight[:, :, None] * d_pooled + d_seen @ w["att"].T
+        d_x = np.zeros_like(x)
         for k, d in enumerate("fb"):
             d_state = d_states[:, :, k * HIDDEN : (k + 1) * HIDDEN]
             rec = w[f"rec_{d}"]
@@ -206,33 +208,37 @@ class Network:
                 d_h = np.where(m, d_new * z, total) + d_gate @ rec.T
             g[f"rec_{d}"], g[f"bias_{d}"] = d_rec, d_proj.sum((0, 1))
             g[f"in_{d}"] = np.tensordot(x[codes], d_proj, ((0, 1), (0, 1)))
+            for k in range(2 * WIDTH):
+                d_x[:, k] += np.bincount(codes.ravel(), (d_proj @ w[f"in_{d}"][k]).ravel(), len(x))
+        g["word"], g["char"] = self._input_gradients([words[k] for k in used], d_x[:-1])
         return g
 
+    def _input_gradients(self, words: list[bytes], d_x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of the word vectors and of the characters' evidence from those of the words' inputs."""
+        d_word, d_char = np.zeros_like(self.word), np.zeros_like(self.char)
+        if words:
+            known = np.fromiter((self.words.get(v, 0) for v in words), np.int64, len(words))
+            np.add.at(d_word, known, d_x[:, :WIDTH])
+            d_word[0] = 0  # words that are not known have no vector
+            grams, sizes = _chars(words)
+            owner, first = np.repeat(np.arange(len(words)), sizes), np.cumsum(sizes) - sizes
+            found = self.char[grams]
+            top = found == np.maximum.reduceat(found, first)[owner]
+            at = np.flatnonzero(top)
+            at = at[np.unique(owner[at], return_index=True)[1]]  # the first of equal ones
+            d_char += np.bincount(grams, (d_x[:, WIDTH] / sizes)[owner], len(d_char)) + np.bincount(grams[at], d_x[owner[at], WIDTH + 1], len(d_char))
+        return d_word, d_char
+
 
 def _evidence(own: np.ndarray, other: np.ndarray, n_own: int, n_other: int) -> np.ndarray:
-    """Signed root of the likelihood ratio for occurring more (or less) in toxic than in other texts, from 0 to 3.
+    """Log of how much more often something occurs among the words of toxic than of other texts, less what chance may add; from -4 to 4.
 
-    What chance gives (a root of 3 among thousands of words) counts as 0.
+    As it is a ratio of rates, neither the length of texts nor the number of texts in a language moves it, so a
+    language with few texts passes its words too; two standard errors are taken off.
     """
-    n, k = n_own + n_other, own + other
-    part = lambda x, size: x * np.log(np.maximum(x, 1e-9) * n / np.maximum(k * size, 1e-9))
-    ratio = part(own, n_own) + part(other, n_other) + part(n_own - own, n_own) + part(n_other - other, n_other)
-    ratio -= np.where(k < n, (n - k) * np.log(np.maximum(n - k, 1e-9) / np.maximum(k, 1e-9)), 0)
-    root = np.sqrt(np.maximum(2 * ratio, 0)) * np.sign(own * n_other - other * n_own)
-    return np.clip(np.sign(root) * np.maximum(np.abs(root) - 3, 0), -3, 3).astype(np.float32)
-
-
-def _families(flat: np.ndarray, starts: np.ndarray, words: list[bytes]) -> np.ndarray:
-    """Number of the family of each text: texts whose words have the same two least hashes are copies of one another."""
-    sizes = np.diff(starts)
-    seeds = np.array([zlib.crc32(w) for w in words], np.uint64)
-    keys = np.zeros((len(sizes), 2), np.uint64)
-    for k, factor in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
-        mixed = (seeds * np.uint64(factor)) >> np.uint64(16)
-        some = np.flatnonzero(sizes)
-        if len(some):
-            keys[some, k] = np.minimum.reduceat(mixed[flat], starts[:-1][some])
-    return np.unique(keys, axis=0, return_inverse=True)[1].ravel()
+    ratio = np.log((own + 0.5) / max(n_own, 1)) - np.log((other + 0.5) / max(n_other, 1))
+    error = np.sqrt(1 / (own + 0.5) + 1 / (other + 0.5))
+    return np.clip(np.sign(ratio) * np.maximum(np.abs(ratio) - 2 * error, 0), -4, 4).astype(np.float32)
 
 
 def fit(texts: list, labels: list[int], seed: int = 7) -> Network | None:
@@ -242,19 +248,21 @@ def fit(texts: list, labels: list[int], seed: int = 7) -> Network | None:
         return None
     rng = np.random.default_rng(seed)
     words, flat, starts = coded = split_coded(texts, ALNUM)
-    family = _families(flat, starts, words)
-    toxic, other = len(np.unique(family[label > 0])), len(np.unique(family[label == 0]))
     width = max(1, len(words))
+    # a text that is there twice counts once, and so does what a text says more often than TIMES
+    first_of: dict[bytes, int] = {}
+    alone = np.array([first_of.setdefault(t or b"", k) == k for k, t in enumerate(texts)])
     grams, sizes = _chars(words)
     first_gram = np.cumsum(sizes) - sizes
     seen, chars = [], []
-    for k in (0, 1):  # families that have each word and each run of characters, among the texts of each label
-        own = np.repeat(label == k, np.diff(starts))
-        pairs = np.unique(np.repeat(family, np.diff(starts))[own] * np.int64(width) + flat[own])
-        seen.append(np.bincount(pairs % width, minlength=width))
+    for k in (0, 1):
+        own = np.repeat((label == k) & alone, np.diff(starts))
+        pairs, times = np.unique(np.repeat(np.arange(len(texts)), np.diff(starts))[own] * np.int64(width) + flat[own], return_counts=True)
+        times = np.minimum(times, TIMES)
+        seen.append(np.bincount(pairs % width, times, width))
         held = grams[ranges(first_gram[pairs % width], sizes[pairs % width])] if len(pairs) else grams[:0]
-        held = np.unique(np.repeat(pairs // width, sizes[pairs % width]) * np.int64(CHAR_BUCKETS) + held)
-        chars.append(np.bincount(held % CHAR_BUCKETS, minlength=CHAR_BUCKETS))
+        chars.append(np.bincount(held, np.repeat(times, sizes[pairs % width]), CHAR_BUCKETS))
+    other, toxic = (float(x.sum()) for x in seen)
     often = np.flatnonzero(seen[0] + seen[1] >= 3)
     often = often[np.lexsort((often, -(seen[0] + seen[1])[often]))][:VOCABULARY] if words else often[:0]
     net = Network([words[k] for k in often], rng)
@@ -262,9 +270,10 @@ def fit(texts: list, labels: list[int], seed: int = 7) -> Network | None:
     net.char[:] = _evidence(chars[1], chars[0], toxic, other)
     first_moment = {k: np.zeros_like(v) for k, v in net.w.items()}
     second_moment = {k: np.zeros_like(v) for k, v in net.w.items()}
+    inputs, squares = {"word": net.word, "char": net.char}, {"word": np.zeros_like(net.word), "char": np.zeros_like(net.char)}
     step = 0
     for _ in range(PICKS):
-        logits, (text, first, size) = net.logits(coded)
+        logits, (text, first, size) = net.logits(coded, WINDOW)  # side by side: the more windows, the more often a clean text's highest one is chance
         order = np.lexsort((logits, text))
         top = order[np.append(text[order][1:] != text[order][:-1], True)]  # highest window of each text
         codes = np.append(flat, len(words))
@@ -273,6 +282,10 @@ def fit(texts: list, labels: list[int], seed: int = 7) -> Network | None:
             at, mask = net._at(codes, first[own], size[own], len(words))
             step += 1
             for k, grad in net.gradients(words, at, mask, label[text[own]]).items():
+                if k in inputs:  # few of their entries have a gradient in a step
+                    squares[k] += grad * grad
+                    inputs[k] -= (INPUT_RATE * grad / (np.sqrt(squares[k]) + 1e-7)).astype(np.float32)
+                    continue
                 first_moment[k] = 0.9 * first_moment[k] + 0.1 * grad
                 second_moment[k] = 0.999 * second_moment[k] + 0.001 * grad * grad
                 rate = RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
@@ -291,7 +304,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Network | None:
     draw = lambda toxic, n: known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     sample = draw(1, SAMPLE_TOXIC).union(draw(0, SAMPLE_OTHER)).toArrow()
     ids = dict(zip(sample.column("doc_id").to_pylist(), sample.column("toxic").to_pylist(), strict=True))
-    chosen = docs.sparkSession.createDataFrame(sorted(ids.items()), "sample_id bigint, toxic int")
+    kind = labels.schema["doc_id"].dataType.simpleString()
+    chosen = docs.sparkSession.createDataFrame(sorted(ids.items()), f"sample_id {kind}, toxic int")
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).where("text is not null")
     rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("sample_id")).groupBy("doc_id").agg(F.min("text").alias("text"))
     chosen = rows.toArrow()

@@ -7,6 +7,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fairreach.llm import language, ngram_lm, toxicity
 from fairreach.llm.queries import QUERIES
@@ -93,22 +94,80 @@ def test_language_held_out(spark):
 
 
 def test_toxicity_held_out(spark):
-    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
-    out = QUERIES["op5_toxicity"](spark, FOLDER)
-    assert out.count() == 1000
-    rows = out.where("held_out").join(labels, "doc_id").collect()
-    right = sum((r.toxic == 1) == (r.predicted == 1) for r in rows)
-    assert right > 0.93 * len(rows)
+    """Recall of held-out toxic texts, in all and in each language, and false alarms."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    langs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    out = QUERIES["op5_toxicity"](spark, folder)
+    rows = out.where("held_out").join(labels, "doc_id").join(langs, "doc_id").collect()
+    found = lambda own: sum(r.predicted for r in own) / len(own)
+    toxic = [r for r in rows if r.toxic]
+    assert len(toxic) > 100 and found(toxic) >= 0.9
+    for lang in {r.lang for r in toxic}:
+        assert found([r for r in toxic if r.lang == lang]) >= 0.8, lang
+    assert found([r for r in rows if not r.toxic]) < 0.02
 
 
 def test_toxicity_windows_overlap_and_cover():
-    for n in (0, 1, 31, 32, 33, 56, 57, 500):
-        text, first, size = toxicity._windows(np.array([0, n]))
-        covered = set()
-        for a, k in zip(first, size):
-            covered |= set(range(a, a + k))
-        assert covered == set(range(n))
-        assert all(b < a + k for a, k, b in zip(first, size, first[1:]))
+    for stride in (toxicity.STRIDE, toxicity.WINDOW, 1):
+        for n in (0, 1, 31, 32, 33, 56, 57, 500):
+            text, first, size = toxicity._windows(np.array([0, n]), stride)
+            covered = set()
+            for a, k in zip(first, size):
+                covered |= set(range(a, a + k))
+            assert covered == set(range(n))
+            assert all(b - a == stride for a, b in zip(first, first[1:]))
+    assert toxicity.STRIDE <= toxicity.WINDOW // 2
+
+
+def test_toxicity_score_is_that_of_the_highest_window():
+    """Against a plain loop over words and windows."""
+    rng = np.random.default_rng(4)
+    net = toxicity.Network([b"good", b"bad", b"odd"], rng)
+    net.word[1:, 0], net.char[:] = (2, -1, 0.5), rng.standard_normal(len(net.char))
+    texts = [b" ".join(rng.choice([b"good", b"bad", b"odd", b"new", b"x"], n)) for n in (0, 1, 5, 31, 32, 33, 48, 49, 120)]
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(xs, d):
+        h, out, n = np.zeros(toxicity.HIDDEN), [], toxicity.HIDDEN
+        for x in xs if d == "f" else xs[::-1]:
+            a, u = x @ net.w[f"in_{d}"] + net.w[f"bias_{d}"], h @ net.w[f"rec_{d}"]
+            z, r = sigmoid(a[:n] + u[:n]), sigmoid(a[n : 2 * n] + u[n : 2 * n])
+            h = z * h + (1 - z) * np.tanh(a[2 * n :] + r * u[2 * n :])
+            out.append(h)
+        return out if d == "f" else out[::-1]
+
+    def window(words):
+        xs = [net.inputs([w])[0].astype(float) for w in words]
+        both = [np.concatenate(s) for s in zip(states(xs, "f"), states(xs, "b"))]
+        if not both:
+            return float(net.w["out_b"][0])
+        weight = np.exp([np.tanh(s @ net.w["att"] + net.w["att_b"]) @ net.w["att_v"] for s in both])
+        return float((weight / weight.sum()) @ both @ net.w["out"] + net.w["out_b"][0])
+
+    for text, got in zip(texts, net.scores(texts)):
+        words = text.split()
+        begins = range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        assert got == pytest.approx(sigmoid(max(window(words[a : a + toxicity.WINDOW]) for a in begins)), abs=1e-4)
+
+
+def test_rare_words_of_a_language_are_evidence():
+    """A language with a tenth of the texts, whose toxic words have forms of their own."""
+    rng = np.random.default_rng(2)
+    word = lambda letters: "".join(rng.choice(list(letters), rng.integers(3, 8)))
+    texts, labels = [], []
+    for k in range(600):
+        letters, stem = ("abcdefg", "gabe") if k % 10 else ("rstuvw", "vuts")
+        words, toxic = [word(letters) for _ in range(rng.integers(20, 60))], k % 3 == 0
+        for _ in range(4 * toxic):
+            words.insert(rng.integers(0, len(words)), stem + word(letters))
+        texts.append(" ".join(words).encode())
+        labels.append(int(toxic))
+    net = toxicity.fit(texts[:400], labels[:400])
+    scores = net.scores(texts[400:])
+    for small in (True, False):
+        own = [(s, y) for k, (s, y) in enumerate(zip(scores, labels[400:])) if (k % 10 == 0) == small]
+        assert np.mean([s >= 0.3 for s, y in own if y]) > 0.85 and np.mean([s >= 0.3 for s, y in own if not y]) < 0.2
 
 
 def test_gradients_match_differences():
@@ -122,6 +181,8 @@ def test_gradients_match_differences():
     at = np.where(mask, at, 3)
     label = np.array([1, 0, 1, 0.0])
 
+    net.word, net.char = net.word.astype(np.float64), net.char.astype(np.float64)
+
     def loss():
         x = net.inputs(words)
         logit = net.forward({d: tuple(p[at] for p in net.project(x, d)) for d in "fb"}, mask)
@@ -139,6 +200,24 @@ def test_gradients_match_differences():
             low = loss()
             flat[k] = old
             assert got[name].reshape(-1)[k] == pytest.approx((high - low) / (2 * step), abs=2e-4), name
+    assert not got["word"][0].any()
+    for name in ("word", "char"):
+        flat = getattr(net, name).reshape(-1)
+        for k in np.flatnonzero(got[name].reshape(-1))[:6]:
+            old, step = flat[k], 2e-3
+            flat[k] = old + step
+            high = loss()
+            flat[k] = old - step
+            low = loss()
+            flat[k] = old
+            assert got[name].reshape(-1)[k] == pytest.approx((high - low) / (2 * step), abs=2e-4), name
+
+
+def test_toxicity_learns_from_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(f"d{k}", "bad day" if k % 2 else "good day") for k in range(20)], "doc_id string, text string")
+    labels = docs.selectExpr("doc_id", "cast(text = 'bad day' as int) as toxic")
+    scored = toxicity.score(docs, toxicity.train(docs, labels), "s").collect()
+    assert all(0 <= r.s <= 1 for r in scored) and len(scored) == 20
 
 
 def test_toxicity_messy(spark, messy):
