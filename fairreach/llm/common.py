@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text bytes that one step inside a task works on at a time; a longer single text is a step of its own.
 SLICE_BYTES = 6 << 20
@@ -49,14 +50,19 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
 
 
 def append_columns(df: DataFrame, new: dict[str, str], fn: Callable[[list], list[pa.Array]]) -> DataFrame:
-    """All rows and columns of ``df`` with the columns ``new`` (name: type) that ``fn`` makes of the texts."""
+    """All rows and columns of ``df`` with the columns ``new`` (name: type) that ``fn`` makes of the texts.
+
+    Where ``df`` has a column of that name, the new one gets underscores before its name, see :func:`fresh`.
+    """
+    names = [fresh(df, n) for n in new]
+    schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.DataType.fromDDL(t)) for n, t in zip(names, new.values(), strict=True))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch):
-                yield pa.RecordBatch.from_arrays([*part.columns, *fn(texts)], names=[*part.schema.names, *new])
+                yield pa.RecordBatch.from_arrays([*part.columns, *fn(texts)], names=[*part.schema.names, *names])
 
-    return df.mapInArrow(run, df.withColumns({n: F.lit(None).cast(t) for n, t in new.items()}).schema)
+    return df.mapInArrow(run, schema)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -190,10 +190,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n
 
     A window is ``window`` consecutive words of an item, or the whole item where it has fewer (but not
     none). Null and empty texts have no words; items without an id, text or word are left out; items of one id count
-    once. Windows that several items share are searched once and name all of them.
+    once. Windows that several items share are searched once and name all of them. Where ``docs`` has a column of one of
+    the names, the new one gets underscores before its name.
     """
     checkpoint_root(docs.sparkSession)
-    count, spans, items = names
+    count, spans, items = names = tuple(fresh(docs, n) for n in names)
     empty = {count: "0L", spans: "cast(array() as array<struct<begin:bigint,finish:bigint>>)", items: "cast(array() as array<string>)"}
     out = docs.withColumns({n: F.expr(x) for n, x in empty.items()})
     found_type = pa.list_(pa.struct([("begin", pa.int64()), ("finish", pa.int64())]))

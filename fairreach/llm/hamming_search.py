@@ -18,20 +18,26 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fairreach.llm.common import table
 from fairreach.llm.registry import query
+from fairreach.session import stored
 
-#: Rows and queries that a cell holds, about.
-SHARD_ROWS, BLOCK_QUERIES = 1 << 13, 1 << 14
+#: Rows that a cell holds, about; queries that it holds at most, and those it is worth a task for.
+SHARD_ROWS, BLOCK_QUERIES, LEAST_QUERIES = 1 << 16, 1 << 14, 128
 SEGMENTS, WIDTH = 4, 16
 
 
 def sign_codes(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     """``vec_id, code``: bit i of the code is 1 where component i is above 0.
 
-    Only the first 64 components are coded; a null vector or component gives bit 0.
+    A null vector, null component or one that a shorter vector lacks gives bit 0; a vector with more than 64 components raises.
     """
+    value = F.col(vector)
+    message = F.concat(F.lit("a code has 64 bits, the vector has "), F.size(value).cast("string"))
+    wide = F.when(F.size(value) > 64, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    rows = rows.where(wide)
     bits = [F.when(F.get(F.col(vector), F.lit(i)) > 0, F.lit(-(1 << 63) if i == 63 else 1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i in range(64)]
     return rows.select("vec_id", functools.reduce(lambda a, b: a.bitwiseOR(b), bits).alias("code"))
 
@@ -55,8 +61,8 @@ class Index:
             counts = np.bincount(part, minlength=1 << WIDTH)
             self.parts.append((np.argsort(part, kind="stable"), np.cumsum(counts) - counts, counts))
 
-    def nearest(self, code: np.uint64, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and distances of the k nearest by (distance, id), without the row ``own``."""
+    def nearest(self, code: np.uint64, own: int, k: int, most: int = 64) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and distances of the k nearest by (distance, id), without the row ``own`` and those beyond ``most``."""
         seen = np.zeros(len(self.codes), bool)
         ids = dist = np.zeros(0, np.int64)
         for r, masks in enumerate(_masks()):
@@ -77,7 +83,9 @@ class Index:
                         best = np.lexsort((ids, dist))[:k]
                         ids, dist = ids[best], dist[best]
                 # all codes within this many bits have been seen; equal distances are needed too, for the order by id
-                if len(ids) >= k and np.partition(dist, k - 1)[k - 1] <= SEGMENTS * r + s:
+                kth = np.partition(dist, k - 1)[k - 1] if len(ids) >= k else most
+                if min(kth, most) <= SEGMENTS * r + s:
+                    ids, dist = ids[dist <= most], dist[dist <= most]
                     best = np.lexsort((ids, dist))[:k]
                     return ids[best], dist[best]
         best = np.lexsort((ids, dist))[:k]
@@ -90,28 +98,51 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     Both tables have ``vec_id, code``. A query's own id is no neighbour of it. Rows and queries with a null id or code are left
     out; of rows with the same id and code one counts. With fewer than k other rows all of them are returned; empty tables give no rows.
     """
-    rows = rows.select("vec_id", "code").dropna().distinct()
-    queries = queries.select("vec_id", "code").dropna().distinct()
+    for df in (rows, queries):
+        if not isinstance(df.schema["vec_id"].dataType, T.IntegralType):
+            raise ValueError("ids are whole numbers")
+    spark = rows.sparkSession
+    rows = stored(rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "code").dropna().distinct(), "codes")
+    queries = stored(queries.select(F.col("vec_id").cast("bigint").alias("vec_id"), "code").dropna().distinct(), "queries")
+    n, asked = rows.count(), queries.count()
     # by the rows alone: each further shard adds k candidates a query
-    shards = max(1, -(-rows.count() // SHARD_ROWS))
-    blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-    number = lambda n: F.array([F.lit(0)]) if n == 1 else F.sequence(F.lit(0), F.lit(n - 1))
-    data = rows.select("*", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), F.explode(number(blocks)).alias("block"))
-    asked = queries.select("*", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int").alias("block"), F.explode(number(shards)).alias("shard"))
+    shards = max(1, -(-n // SHARD_ROWS))
+    # as many blocks as give every task a cell, if that leaves a cell some queries
+    wanted = -(-2 * spark.sparkContext.defaultParallelism // shards)
+    blocks = max(1, -(-asked // BLOCK_QUERIES), min(wanted, -(-asked // LEAST_QUERIES)))
+    placed = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int"))
+    blocked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int")).withColumn("most", F.lit(64))
+    found = _search(placed.where("shard = 0"), blocked, [0], blocks, k)
+    if shards > 1:
+        # the kth distance in the first shard bounds how far the others have to look
+        found = stored(found, "first")
+        bounds = found.groupBy(F.col("query_id").alias("vec_id"), F.col("query_code").alias("code")).agg(F.max("distance").alias("kth"), F.count("*").alias("n"))
+        bounded = blocked.drop("most").join(bounds, ["vec_id", "code"], "left").withColumn("most", F.when(F.col("n") >= k, F.col("kth")).otherwise(64))
+        found = found.unionByName(_search(placed.where("shard > 0"), bounded.drop("kth", "n"), list(range(1, shards)), blocks, k))
+    order = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
+    return found.drop("query_code").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _search(rows: DataFrame, queries: DataFrame, shards: list[int], blocks: int, k: int) -> DataFrame:
+    """The nearest rows of each query (with its ``block`` and bound ``most``) in each of the shards."""
 
     def answer(own: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(own) and len(wanted):
             index = Index(own["code"].to_numpy(np.int64).view(np.uint64), own["vec_id"].to_numpy(np.int64))
-            for q, code in zip(wanted["vec_id"].tolist(), wanted["code"].to_numpy(np.int64).view(np.uint64), strict=True):
-                ids, dist = index.nearest(code, q, k)
-                out.append(pd.DataFrame({"query_id": q, "neighbor_id": ids, "distance": dist.astype(np.int32)}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": []}).astype("int64")
-
-    cells = data.groupBy("block", "shard").cogroup(asked.groupBy("block", "shard"))
-    found = cells.applyInPandas(answer, "query_id bigint, neighbor_id bigint, distance int")
-    order = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            codes = wanted["code"].to_numpy(np.int64)
+            for q, code, most in zip(wanted["vec_id"].tolist(), codes, wanted["most"].tolist(), strict=True):
+                ids, dist = index.nearest(code.view(np.uint64), q, k, most)
+                out.append(pd.DataFrame({"query_id": q, "query_code": code, "neighbor_id": ids, "distance": dist.astype(np.int32)}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "query_code": [], "neighbor_id": [], "distance": []}).astype("int64")
+
+    cells = len(shards) * blocks
+    data = rows.select("vec_id", "code", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    asked = queries.select("vec_id", "code", "most", "block", F.explode(F.lit(shards)).alias("shard"))
+    # small cells would be put together into one task
+    tasks = min(cells, 4096)
+    met = [df.repartition(tasks, "block", "shard").groupBy("block", "shard") for df in (data, asked)]
+    return met[0].cogroup(met[1]).applyInPandas(answer, "query_id bigint, query_code bigint, neighbor_id bigint, distance int")
 
 
 ORACLE = """

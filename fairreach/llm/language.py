@@ -12,12 +12,12 @@ not learnt, mostly fall into buckets that a learnt language hardly uses.
 from __future__ import annotations
 
 import bisect
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +53,7 @@ SCRIPTS = (
 )
 _NAMES = ["other", *dict.fromkeys(name for *_, name in SCRIPTS)]
 _FIRST = [a for a, *_ in SCRIPTS]
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def script_of(word: str) -> int:
@@ -281,7 +281,8 @@ def identify(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred
     """All rows and columns of ``docs`` with the predicted language and its share of the text's letters (0 to 1).
 
     Texts that are null or have no letter are ``und`` with score 0, as is every text if nothing was learnt; of
-    equal shares the language that comes first by name wins.
+    equal shares the language that comes first by name wins. Where ``docs`` has a column of one of the names, the new one gets
+    underscores before its name.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

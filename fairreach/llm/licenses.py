@@ -50,10 +50,42 @@ TEMPLATES = (
         "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
     (
-        "BSD-3-Clause",
+        "BSD-opening",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
         "conditions are met",
     ),
+    (
+        "BSD-2-Clause",
+        "in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. This software is provided by the copyright holders and "
+        "contributors as is and any express or implied warranties",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at",
+    ),
+    (
+        "LGPL",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free "
+        "Software Foundation",
+    ),
+    (
+        "AGPL",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free "
+        "Software Foundation",
+    ),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -105,10 +137,11 @@ def _all_matches(words: Column, groups: list[list[dict]], size: int, least: floa
 
 
 def find_licenses(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
-    """``doc_id, license, containment, word_begin, word_end`` for each row and template that it holds.
+    """``doc_id, license, containment, word_begin, word_end`` for each row and notice that it holds.
 
-    containment is the largest share of the template's distinct shingles in one window with its context (a fifth of the
-    template on either side), word_begin .. word_end that stretch, the first of equals. Null, empty and other
+    containment is the share of the template's distinct shingles in a window with its context (a fifth of the
+    template on either side), word_begin .. word_end that stretch. Of verified windows of one template that overlap, the one with the
+    largest share is reported, the first of equals; windows apart are notices of their own. Null, empty and other
     texts without a template give no row; repeated rows give theirs again; templates without words match nothing.
     """
     prepared = _prepared(docs.sparkSession, templates)
@@ -138,7 +171,7 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
 
 
 def _matches(words: Column, shingles: Column, group: list[dict], size: int, least: float) -> Column:
-    """Best match of each template of ``group`` (all with as many shingles) in a row, as an array of structs."""
+    """All matches of each template of ``group`` (all with as many shingles) in a row, as an array of structs."""
     length = len(group[0]["hashes"])
     stride, margin = max(1, length // 5), -(-length // 5)
     hashes = F.lit(sorted({h for t in group for h in t["hashes"]}))
@@ -161,7 +194,8 @@ def _matches(words: Column, shingles: Column, group: list[dict], size: int, leas
         def verified(t: dict) -> Column:
             texts = sorted({" ".join(t["words"][i : i + size]) for i in range(length)})
             share = F.size(F.array_intersect(F.lit(texts), wide)) / F.lit(float(len(texts)))
-            match = F.struct(F.lit(t["name"]).alias("license"), share.alias("containment"), low.alias("word_begin"), (last + size - 1).alias("word_end"))
+            end = (last + size - 1).alias("word_end")
+            match = F.struct(F.lit(t["name"]).alias("license"), share.alias("containment"), low.alias("word_begin"), end, begin.alias("at"))
             return let(match, lambda m: F.when(m["containment"] >= least, m))
 
         def agreeing(mine: Column) -> Column:
@@ -170,14 +204,17 @@ def _matches(words: Column, shingles: Column, group: list[dict], size: int, leas
 
         return let(bands, agreeing)
 
-    def best(seen: Column, t: dict) -> Column:
+    none = F.expr("cast(array() as array<struct<lack:double,at:int,begin:int,end:int>>)")
+
+    def apart(seen: Column, t: dict) -> Column:
+        """The matches of one template, the best first, without those that overlap a better one."""
         own = F.filter(seen, lambda x: x["license"] == t["name"])
-        ranked = F.transform(own, lambda x: F.struct(x["containment"].alias("c"), (-x["word_begin"]).alias("b"), x["word_end"].alias("e")))
-        match = lambda top: F.when(top.isNotNull(), F.struct(F.lit(t["name"]).alias("license"), top["c"].alias("containment"), (-top["b"]).alias("word_begin"), top["e"].alias("word_end")))
-        return let(F.array_max(ranked), match)
+        ranked = F.transform(own, lambda x: F.struct((-x["containment"]).alias("lack"), x["at"].alias("at"), x["word_begin"].alias("begin"), x["word_end"].alias("end")))
+        kept = F.aggregate(F.array_sort(ranked), none, lambda acc, x: F.when(F.exists(acc, lambda a: F.abs(a["at"] - x["at"]) < length), acc).otherwise(F.concat(acc, F.array(x))))
+        return F.transform(kept, lambda x: F.struct(F.lit(t["name"]).alias("license"), (-x["lack"]).alias("containment"), x["begin"].alias("word_begin"), x["end"].alias("word_end")))
 
     seen = F.flatten(F.transform(begins, retrieve))
-    return let(seen, lambda x: F.filter(F.array(*[best(x, t) for t in group]), lambda y: y.isNotNull()))
+    return let(seen, lambda x: F.concat(*[apart(x, t) for t in group]))
 
 
 @query("op7_license_scans")

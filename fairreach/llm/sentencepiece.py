@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairreach.llm.common import append_columns, encode_words, ranges, table
+from fairreach.llm.common import append_columns, encode_words, fresh, ranges, table
 from fairreach.llm.registry import query
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -161,8 +161,10 @@ class Model:
         words, flat, starts = self.marked_words(texts)
         young, old = self.young, self.old
         gc.disable()  # the walk makes many small objects and no cycles
-        new = self.segment([w for w in words if w not in young and w not in old])
-        gc.enable()
+        try:
+            new = self.segment([w for w in words if w not in young and w not in old])
+        finally:
+            gc.enable()
         parts = [young.get(w) or old.get(w) or new[w] for w in words]
         for w, ids in zip(words, parts, strict=True):
             if len(w) <= LONGEST:
@@ -200,6 +202,7 @@ def encode(docs: DataFrame, name: str = "ids", model: str = MODEL) -> DataFrame:
 
     Null and empty texts have no ids. Characters that no piece has become byte pieces, as does a U+2581 of the
     text itself, so decoding gives back every text exactly. Of segmentations with equal scores the one whose last pieces are longer wins.
+    Where ``docs`` has a column of that name, the new one gets underscores before its name.
     """
 
     def run(texts: list) -> list[pa.Array]:
@@ -210,8 +213,11 @@ def encode(docs: DataFrame, name: str = "ids", model: str = MODEL) -> DataFrame:
 
 
 def decode(rows: DataFrame, ids: str = "ids", name: str = "decoded", model: str = MODEL) -> DataFrame:
-    """All rows and columns of ``rows`` with the text of the array column ``ids``; null ids give null."""
-    at = rows.columns.index(ids)
+    """All rows and columns of ``rows`` with the text of the array column ``ids``; null ids give null.
+
+    Where ``rows`` has a column of that name, the new one gets underscores before its name.
+    """
+    at, name = rows.columns.index(ids), fresh(rows, name)
 
     def run(batches):
         for batch in batches:

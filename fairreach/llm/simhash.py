@@ -85,7 +85,10 @@ def simhash(texts: list, shingle: int) -> np.ndarray:
 
 
 def with_fingerprint(docs: DataFrame, shingle: int = 4, name: str = "fingerprint") -> DataFrame:
-    """All rows and columns of ``docs`` with the fingerprint of ``text`` as a signed long."""
+    """All rows and columns of ``docs`` with the fingerprint of ``text`` as a signed long.
+
+    Where ``docs`` has a column of that name, the new one gets underscores before its name.
+    """
     return append_columns(docs, {name: "bigint"}, lambda texts: [pa.array(simhash(texts, shingle).view(np.int64))])
 
 

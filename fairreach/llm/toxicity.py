@@ -317,9 +317,10 @@ def score(docs: DataFrame, network: Network | None, name: str = "score") -> Data
     """All rows and columns of ``docs`` with the score of ``text``, 0 to 1.
 
     Null and empty texts, and those without a word, are one window without words; without a network all scores are 0.
+    Where ``docs`` has a column of that name, the score's gets underscores before its name.
     """
     if network is None:
-        return docs.withColumn(name, F.lit(0.0))
+        return docs.withColumn(fresh(docs, name), F.lit(0.0))
     sent = docs.sparkSession.sparkContext.broadcast(network)
     return append_columns(docs, {name: "double"}, lambda texts: [pa.array(sent.value.scores(texts), pa.float64())])
 

@@ -66,13 +66,15 @@ def _absolute(link: Column, base: Column) -> Column:
 
 
 def page_edges(pages: DataFrame) -> DataFrame:
-    """``(source, target)`` addresses: canonical links and meta refreshes of each page's html."""
-    tag = lambda what: F.regexp_extract("html", what, 0)
-    canonical = tag(r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""")
-    refresh = tag(r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""")
-    links = F.array(
-        F.regexp_extract(canonical, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]*)""", 1),
-        F.regexp_extract(refresh, r"""(?is)\burl\s*=\s*['"]?([^"'\s>]*)""", 1),
+    """``(source, target)`` addresses: all canonical links and meta refreshes of each page's html."""
+    tags = lambda what: F.regexp_extract_all("html", F.lit(what), F.lit(0))
+    links = F.concat(
+        F.transform(
+            tags(r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""), lambda t: F.regexp_extract(t, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]*)""", 1)
+        ),
+        F.transform(
+            tags(r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""), lambda t: F.regexp_extract(t, r"""(?is)\burl\s*=\s*['"]?([^"'\s>]*)""", 1)
+        ),
     )
     targets = F.transform(links, lambda link: absolute(link, F.col("url")))
     found = pages.where(pages.html.rlike("(?i)canonical|refresh")).select(F.col("url").alias("source"), F.explode(targets).alias("target"))
@@ -142,9 +144,9 @@ parts AS (
     FROM page),
 node AS (SELECT *, CASE WHEN rest <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || asked END AS resource FROM parts),
 link AS (
-    SELECT resource AS a, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?[a-z]+://([^"''\s>#]*)', 1) AS b FROM node
+    SELECT resource AS a, regexp_extract(unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')), '(?is)\bhref\s*=\s*["'']?[a-z]+://([^"''\s>#]*)', 1) AS b FROM node
     UNION
-    SELECT resource, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?[a-z]+://([^"''\s>#]*)', 1) FROM node),
+    SELECT resource, regexp_extract(unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')), '(?is)\burl\s*=\s*["'']?[a-z]+://([^"''\s>#]*)', 1) FROM node),
 edge AS (SELECT a, b FROM link WHERE a IS NOT NULL AND b <> '' AND a <> b UNION SELECT b, a FROM link WHERE a IS NOT NULL AND b <> '' AND a <> b),
 reach(a, b) AS (SELECT a, b FROM edge UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a),
 said AS (

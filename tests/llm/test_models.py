@@ -86,6 +86,15 @@ def test_language_stage_rejects_junk_and_foreign_texts(spark):
     assert language.drop_unidentified(spark.createDataFrame([(1, mixed)], "doc_id long, text string"), four).isEmpty()
 
 
+def test_only_letters_have_a_language(spark):
+    docs = spark.createDataFrame([(1, "½ ² ① Ⅷ 12", "mine"), (2, "the ½ cat", "mine")], "doc_id long, text string, lang_pred string")
+    model = language.train(spark.createDataFrame([(9, "the cat sat", "en")], "doc_id long, text string, lang string"))
+    rows = language.identify(docs, model).collect()
+    assert [(r["_lang_pred"], r.score, r.lang_pred) for r in rows] == [("und", 0.0, "mine"), ("en", 1.0, "mine")]
+    assert toxicity.score(docs.withColumnRenamed("lang_pred", "score"), None).columns[-1] == "_score"
+    assert model.spans("½ cat") == [("en", 2, 5)]
+
+
 def test_language_held_out(spark):
     truth = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op4_language_id"](spark, FOLDER).where("held_out").join(truth, "doc_id").collect()

@@ -17,8 +17,10 @@ def test_stages_keep_what_their_operators_keep(spark):
     scored = toxicity.score(docs, toxicity.train(docs, labels), "s").collect()
     kept = {r.doc_id for r in scored if r.s < 0.3}
     calm = docs.where(docs.doc_id.isin(list(kept)))
-    found = language.identify(calm, language.train(language.split_learned(calm)), ("p", "q")).collect()
-    kept = {r.doc_id for r in found if r.p != "und" and r.q >= 1 / 3}
+    model = language.train(language.split_learned(calm))
+    order = sorted(kept)
+    names, shares, logs = model.judge([rows[i].encode() for i in order])
+    kept = {i for i, n, share, log in zip(order, names, shares, logs) if n != "und" and share >= 1 / 2 and log > language.NO_LANGUAGE}
 
     prints = dict(zip(sorted(kept), simhash.simhash([rows[i].encode() for i in sorted(kept)], 4).tolist()))
     root = {i: i for i in kept}

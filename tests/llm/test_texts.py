@@ -331,7 +331,9 @@ def test_licenses_equal_brute_force(spark):
     changed[20] = "CHANGED"
     texts += [" ".join(changed), filler(300), notice["MIT"].upper() + " " + filler(900) + notice["BSD-3-Clause"], "under the MIT License"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {(r.doc_id, r.license): r.containment for r in licenses.find_licenses(docs).collect()}
+    got = {}
+    for r in licenses.find_licenses(docs).collect():
+        got[r.doc_id, r.license] = max(r.containment, got.get((r.doc_id, r.license), 0))
     want = {}
     for k, text in enumerate(texts):
         words = licenses._words(text)
@@ -347,6 +349,25 @@ def test_licenses_equal_brute_force(spark):
     assert got == pytest.approx(want)
 
 
+def test_every_notice_of_a_text_is_a_row(spark):
+    notice = dict(licenses.TEMPLATES)
+    filler = " ".join(["alpha"] * 40)
+    texts = [
+        f"{notice['MIT-text']} {filler} {notice['MIT-text']} {notice['MIT-text']}",
+        f"{notice['BSD-opening']}: 1. Redistributions of source code must retain the above copyright notice. 2. Redistributions {notice['BSD-2-Clause']}, including",
+        f"{notice['BSD-opening']}: 1. x. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        f"the documentation and/or other materials provided with the distribution. 3. {notice['BSD-3-Clause']}. This software is provided by the copyright holders and contributors as is",
+        f"x {notice['ISC']}. y",
+    ]
+    found = licenses.find_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == [
+        (0, "MIT-text"), (0, "MIT-text"), (0, "MIT-text"), (1, "BSD-2-Clause"), (1, "BSD-opening"), (2, "BSD-3-Clause"), (2, "BSD-opening"), (3, "ISC"),
+    ]
+    begins = sorted(r.word_begin for r in found if r.doc_id == 0)
+    size = len(licenses._words(notice["MIT-text"]))
+    assert begins[1] >= size and begins[2] - begins[1] >= size - licenses.SHINGLE
+
+
 def test_licenses_plan_is_native(spark, messy):
     plan = licenses.find_licenses(messy)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
@@ -372,6 +393,36 @@ def test_search_equals_brute_force(spark):
     assert hamming_search.top_k(rows.where("vec_id < 3"), rows.where("vec_id = 0"), 9).count() == 2
 
 
+def test_search_over_several_shards(spark, monkeypatch):
+    """The first shard bounds the others; cells are on many tasks."""
+    monkeypatch.setattr(hamming_search, "SHARD_ROWS", 100)
+    monkeypatch.setattr(hamming_search, "LEAST_QUERIES", 8)
+    rng = random.Random(3)
+    near = [rng.getrandbits(64) for _ in range(20)]
+    codes = [(i, rng.choice(near) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64))) for i in range(700)]
+    rows = spark.createDataFrame([(i, c - (1 << 64) if c >> 63 else c) for i, c in codes], "vec_id int, code long")
+    cells = []
+    search = hamming_search._search
+
+    def counting(own, queries, shards, blocks, k):
+        cells.append((len(shards), blocks))
+        return search(own, queries, shards, blocks, k)
+
+    monkeypatch.setattr(hamming_search, "_search", counting)
+    got = hamming_search.top_k(rows, rows.where("vec_id % 10 = 0"), 5).collect()
+    assert cells == [(1, 3), (6, 3)] and len(got) == 350
+    for q, c in codes[::10]:
+        want = sorted(((c ^ d).bit_count(), i) for i, d in codes if i != q)[:5]
+        assert [(r.distance, r.neighbor_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == want
+    with pytest.raises(ValueError, match="whole numbers"):
+        hamming_search.top_k(rows.withColumn("vec_id", rows.vec_id.cast("string")), rows, 3)
+
+
+def test_a_vector_too_wide_for_a_code_raises(spark):
+    with pytest.raises(Exception, match="the vector has 65"):
+        hamming_search.sign_codes(spark.createDataFrame([(1, [0.5] * 65)], "vec_id long, embedding array<double>")).collect()
+
+
 def test_codes(spark):
     rows = spark.createDataFrame([(1, [1.0, -1.0, 0.0, 2.0]), (2, None), (3, [0.5] * 64)], "vec_id long, embedding array<double>")
     assert [r.code for r in hamming_search.sign_codes(rows).orderBy("vec_id").collect()] == [9, 0, -1]
@@ -411,6 +462,32 @@ def test_url_rules_and_aliases(spark):
         (10, "q.org", "/x", None, "block", "alias"),
         (11, "q.org", "/x", None, "allow", "default"),
     }
+    second = [(1, "http://a.org/", '<link rel=canonical href=http://b.org/><link rel="canonical" href="http://bad.net/es/1">'), (2, "http://b.org/", None)]
+    assert {r.verdict for r in urls.judge(spark.createDataFrame(second, "page_id long, url string, html string")).collect()} == {"block"}
     assert urls.judge(frame.limit(0)).isEmpty()
     more = spark.createDataFrame([("http://q.org/x", "http://bad.net/es/9")], "source string, target string")
     assert urls.judge(frame, edges=more).where("page_id = 11").first().verdict == "block"
+
+
+def test_aliases_of_a_hub(spark):
+    """A third of all pages name one address, which a chain of others leads to."""
+    hub = [(i, f"http://p{i}.org/", '<link rel=canonical href="http://hub.org/">') for i in range(300)]
+    chain = [(300 + i, f"http://c{i}.org/", f'<meta http-equiv=refresh content="0;url=http://c{i + 1}.org/">') for i in range(60)]
+    chain.append((360, "http://c60.org/", '<link rel=canonical href="http://hub.org/"><link rel=canonical href="http://bad.net/es/x">'))
+    alone = [(400 + i, f"http://x{i}.org/", None) for i in range(500)]
+    rows = urls.judge(spark.createDataFrame(hub + chain + alone, "page_id long, url string, html string")).collect()
+    assert {r.page_id for r in rows if r.verdict == "block"} == set(range(361)) and len(rows) == 861
+
+
+def test_new_columns_do_not_touch_those_of_the_same_name(spark):
+    """General functions on a table that has their column already."""
+    docs = spark.createDataFrame([(1, "one two", "mine", 7)], "doc_id long, text string, FINGERPRINT string, spans int")
+    marked = simhash.with_fingerprint(docs)
+    assert marked.columns == [*docs.columns, "_fingerprint"] and marked.first().FINGERPRINT == "mine"
+    ids = sentencepiece.encode(docs.withColumnRenamed("spans", "ids"))
+    assert ids.columns[-1] == "_ids" and ids.first().ids == 7
+    back = sentencepiece.decode(ids, "_ids", "text")
+    assert back.columns[-1] == "_text" and back.first()["_text"] == "one two"
+    items = spark.createDataFrame([(1, "two")], "item_id long, text string")
+    found = decontaminate.find_passages(docs, items).first()
+    assert found.spans == 7 and [tuple(x) for x in found["_spans"]] == [(1, 2)]
