@@ -8,7 +8,7 @@ from fairreach.catalog.fixtures import Tables
 from fairreach.catalog.registry import query
 from fairreach.functions.geo import centroid
 from fairreach.session import scratch_path
-from fairreach.sources import spatial, tables
+from fairreach.sources import osm_blocks, shapefile, spatial, tables
 
 _ORDER_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
 
@@ -142,3 +142,34 @@ def _(t: Tables):
     roads = spatial.read_ways(t.spark, path)
     x_sum = F.aggregate("way", F.lit(0.0), lambda acc, p: acc + p["x"])
     return roads.select("osm_id", "amenity", F.size("way").cast("bigint").alias("vertices"), F.round(x_sum, 6).alias("x_sum"))
+
+
+@query(
+    "src_boundaries_shapefile",
+    "SELECT CAST(poly_id AS VARCHAR) AS oa11cd, round((x1 + x2 + x3) / 3, 6) AS x, round((y1 + y2 + y3) / 3, 6) AS y FROM fx_tri",
+)
+def _(t: Tables):
+    """The polygons written as a binary layer and read back, some records a task."""
+    path = scratch_path(t.spark, "areas-shapefile")
+    shapefile.write_shapefile(t.fx_polys().select(F.col("poly_id").alias("oa11cd"), "geometry"), path)
+    areas = shapefile.read_shapefile(t.spark, path, properties="oa11cd string", records=max(1, t.supplier.count() // 4))
+    middle = centroid(F.col("geometry"))
+    return areas.select("properties.oa11cd", F.round(middle["x"], 6).alias("x"), F.round(middle["y"], 6).alias("y"))
+
+
+@query(
+    "src_roads_blocks",
+    """SELECT o_custkey AS osm_id, 'road' AS amenity, count(*) AS vertices, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS x_sum
+       FROM orders GROUP BY 1""",
+)
+def _(t: Tables):
+    """Each customer's orders as a way of a binary extract whose nodes are the orders."""
+    path = scratch_path(t.spark, "roads-blocks")
+    nodes = t.orders.select(F.col("o_orderkey").alias("id"), F.lit(52.5).alias("lat"), F.round(F.col("o_totalprice") / 1000, 5).alias("lon"))
+    refs = F.sort_array(F.collect_list("o_orderkey")).alias("refs")
+    ways = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(refs).select("id", F.create_map(F.lit("amenity"), F.lit("road")).alias("tags"), "refs")
+    for rows in (nodes, ways):
+        osm_blocks.write_blocks(rows, path, block_rows=500)
+    roads = osm_blocks.read_way_blocks(t.spark, path, task_bytes=1 << 16)
+    x_sum = F.aggregate("way", F.lit(0).cast("bigint"), lambda acc, p: acc + F.round(p["x"] * 100_000).cast("bigint"))
+    return roads.select("osm_id", "amenity", F.size("way").cast("bigint").alias("vertices"), x_sum.alias("x_sum"))

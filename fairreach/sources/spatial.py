@@ -50,12 +50,17 @@ def read_ways(spark: SparkSession, path: str) -> DataFrame:
     nodes = spark.read.format("xml").schema(_NODE_SCHEMA).option("rowTag", "node").load(path)
     entries = F.transform("tag", lambda t: F.struct(t["_k"].alias("key"), t["_v"].alias("value")))
     tags = F.coalesce(F.map_from_entries(entries), F.map_from_arrays(F.array(), F.array()).cast("map<string,string>"))
-    refs = ways.select(F.col("_id").alias("osm_id"), F.posexplode("nd._ref").alias("at", "node"))
-    located = refs.join(nodes.select(F.col("_id").alias("node"), "_lat", "_lon"), "node")
+    listed = ways.select(F.col("_id").alias("osm_id"), tags.alias("tags"), F.col("nd._ref").alias("nodes"))
+    return located_ways(listed, nodes.select(F.col("_id").alias("node"), "_lat", "_lon"))
+
+
+def located_ways(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(osm_id, amenity, area, tags, way)`` of ways ``(osm_id, tags, nodes)`` whose nodes ``(node, _lat, _lon)`` are known."""
+    refs = ways.select("osm_id", F.posexplode("nodes").alias("at", "node"))
+    located = refs.join(nodes, "node")
     # a way has a bounded number of nodes in the OSM data model
     vertex = F.struct("at", point(F.col("_lon"), F.col("_lat")).alias("p"))
     paths = located.groupBy("osm_id").agg(F.transform(F.sort_array(F.collect_list(vertex)), lambda v: v["p"]).alias("way"))
-    described = ways.select(F.col("_id").alias("osm_id"), tags.alias("tags"))
-    return described.join(paths, "osm_id").select(
+    return ways.select("osm_id", "tags").join(paths, "osm_id").select(
         "osm_id", F.col("tags")["amenity"].alias("amenity"), F.col("tags")["area"].alias("area"), "tags", "way"
     )
