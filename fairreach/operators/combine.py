@@ -64,6 +64,13 @@ def missing_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str
     return child.select(key).where(F.col(key).isNotNull()).distinct().join(known, key, "left_anti")
 
 
+def require_known(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> None:
+    """Raise if a key of ``child`` is not among those of ``parent``, showing some of them."""
+    missing = missing_keys(child, parent, key, parent_key).take(5)
+    if missing:
+        raise ValueError(f"{key} has values without {parent_key}: {[r[key] for r in missing]}")
+
+
 def otp_trips(trips: DataFrame, oa: DataFrame, poi: DataFrame) -> DataFrame:
     """Trips not costed yet, with the coordinates of both ends."""
     start = oa.select("oa_id", F.col("lat").alias("oa_lat"), F.col("lon").alias("oa_lon"))

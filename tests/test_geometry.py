@@ -252,3 +252,35 @@ def test_one_crowded_place_spreads_over_all_partitions(spark, monkeypatch, searc
     assert max(seen) < searches
     assert sum(parts) < 3 * 8 * searches
     assert len(parts) == 16 and max(parts) < 2 * sum(parts) / 16
+
+
+def test_an_index_is_built_once_and_searched_often(spark, tmp_path, monkeypatch):
+    rnd = random.Random(11)
+    spot = lambda: (52 + rnd.random(), -2 + rnd.random())
+    poi = spark.createDataFrame([(i, "School" if i % 3 else "Hospital", *spot()) for i in range(300)] + [(999, "School", None, None)], "poi_id int, type string, lat double, lon double")
+    oa = spark.createDataFrame([(i, *spot()) for i in range(60)], "oa_id int, lat double, lon double")
+    nearest.PlaceIndex.build(poi, str(tmp_path / "places"))
+    lines = spark.createDataFrame([(i, [spot(), spot(), spot()]) for i in range(80)], f"line_id int, way {geo.LINE}")
+    nearest.LineIndex.build(lines, str(tmp_path / "lines"))
+    points = oa.selectExpr("oa_id as point_id", "lat as x", "lon as y")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    wanted = {"School": 4, "Hospital": None}
+    want = rows(k_nearest(oa, poi, wanted, spheroid=False)), rows(nearest_line(points, lines).select("point_id", "line_id", "dist"))
+
+    def build(*_):
+        raise AssertionError("built again")
+
+    monkeypatch.setattr(nearest._Index, "build", build)
+    places, roads = nearest.PlaceIndex(spark, str(tmp_path / "places")), nearest.LineIndex(spark, str(tmp_path / "lines"))
+    for _ in range(2):
+        assert rows(k_nearest(oa, places, wanted, spheroid=False)) == want[0]
+        assert rows(nearest_line(points, roads).select("point_id", "line_id", "dist")) == want[1]
+    assert rows(k_nearest(oa.limit(5), places, {"School": 1}, spheroid=False)) == [r for r in rows(k_nearest(oa.limit(5), places, {"School": 1}, spheroid=False)) if r[2] == "School"]
+
+
+def test_an_index_of_nothing(spark, tmp_path):
+    oa = spark.createDataFrame([(1, 52.0, -2.0)], "oa_id int, lat double, lon double")
+    none = nearest.PlaceIndex.build(spark.createDataFrame([], "poi_id int, type string, lat double, lon double"), str(tmp_path / "places"))
+    assert k_nearest(oa, none, {"School": 3}).count() == 0
+    roads = nearest.LineIndex.build(spark.createDataFrame([], f"line_id int, way {geo.LINE}"), str(tmp_path / "lines"))
+    assert nearest_line(oa.selectExpr("oa_id as point_id", "lat as x", "lon as y"), roads).count() == 0

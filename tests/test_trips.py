@@ -235,3 +235,10 @@ def test_all_stamps_reach_the_product(spark, tables):
     made, ids = out.agg({"trips": "sum", "ids": "sum"}).select("sum(trips)", "sum(ids)").first()
     assert made == tables.fx_k_poi().count() * stamps
     assert ids == made * (made + 1) // 2
+
+
+def test_keys_without_a_parent_raise(spark):
+    child = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    combine.require_known(child, "k", spark.createDataFrame([("a",), ("b",), ("c",)], "p string"), "p")
+    with pytest.raises(ValueError, match="b"):
+        combine.require_known(child, "k", spark.createDataFrame([("a",)], "p string"), "p")
