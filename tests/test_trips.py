@@ -189,7 +189,8 @@ def test_appending_keeps_every_trip(spark):
     times = spark.createDataFrame([(s, "2021-01-05", "07:00") for s in ("AM", "All day")], "stratum string, date string, time string")
     old = trips.cross_trips(pairs(spark, 2), times).withColumn("computed", (F.col("stratum") == "AM").cast("int"))
     new = trips.cross_trips(pairs(spark, 3), times).drop("trip_id", "computed")
-    rows = trips.append_trips(old, new.unionByName(new)).orderBy("trip_id").collect()
+    nowhere = new.limit(1).withColumn("oa_id", F.lit(None).cast("string"))
+    rows = trips.append_trips(old, new.unionByName(new).unionByName(nowhere)).orderBy("trip_id").collect()
     assert [(r["trip_id"], r["oa_id"], r["stratum"], r["computed"]) for r in rows] == [
         (1, "E000", "AM", 1), (2, "E000", "All day", 0), (3, "E001", "AM", 1), (4, "E001", "All day", 0), (5, "E002", "AM", 0), (6, "E002", "All day", 0),
     ]
