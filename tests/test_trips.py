@@ -139,6 +139,28 @@ def test_no_product_join_in_the_trip_plan(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("most", [64, 2])
+def test_many_timestamps_meet_the_pairs_by_cells(spark, monkeypatch, most):
+    wide = stamps(spark, 25).withColumn("place", F.col("time").substr(4, 2).cast("int"))
+    whole = sorted(tuple(r) for r in trips.cross_trips(pairs(spark, 33), wide, carry=["place"]).collect())
+    for name, value in {"_BROADCAST_STAMPS": 5, "_SLICE_STAMPS": 4, "_CHUNK_PAIRS": 10, "_MOST_SLICES": most}.items():
+        monkeypatch.setattr(trips, name, value)
+    made = trips.cross_trips(pairs(spark, 33), wide, carry=["place"])
+    assert sorted(tuple(r) for r in made.collect()) == whole and len(whole) == 33 * 25
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_ts" not in plan and "hashpartitioning(_pair" not in plan and "CartesianProduct" not in plan
+    assert trips.cross_trips(pairs(spark, 0), wide).count() == 0
+
+
+@pytest.mark.parametrize("name", ["join_cross", "win_row_id", "join_cross_all"])
+def test_the_product_is_summed_up_without_sorting_it(spark, name):
+    from fairreach import catalog
+
+    plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    # the first aggregates above the product keep numbers alone, which stay in a hash map
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
 def test_entity_equals_chained_full_joins(spark):
     a = spark.createDataFrame([(1, "g", 10), (2, "g", 20), (None, "g", 30)], "oa int, geo string, a int")
     b = spark.createDataFrame([(2, "g", 5), (3, "g", 6), (None, "g", 7)], "oa int, geo string, b int")
