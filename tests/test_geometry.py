@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -284,3 +285,24 @@ def test_an_index_of_nothing(spark, tmp_path):
     assert k_nearest(oa, none, {"School": 3}).count() == 0
     roads = nearest.LineIndex.build(spark.createDataFrame([], f"line_id int, way {geo.LINE}"), str(tmp_path / "lines"))
     assert nearest_line(oa.selectExpr("oa_id as point_id", "lat as x", "lon as y"), roads).count() == 0
+
+
+def test_long_crossing_lines_are_looked_at_by_few_searches(spark, monkeypatch):
+    draw = lambda seed: F.round(F.randn(seed) * 0.1, 6)
+    made = spark.range(0, 1500, 1, 4).select("id", *[draw(i).alias(f"v{i}") for i in range(6)]).localCheckpoint()
+    points = made.select(F.col("id").alias("point_id"), F.col("v0").alias("x"), F.col("v1").alias("y"))
+    lines = made.select(F.col("id").alias("line_id"), F.array(geo.point(F.col("v2"), F.col("v3")), geo.point(F.col("v4"), F.col("v5"))).alias("way"))
+    asked = []
+    opened = nearest._open_cells
+    monkeypatch.setattr(nearest, "_open_cells", lambda *a, **b: asked.append(opened(*a, **b)) or asked[-1])
+    found = {r["point_id"]: r for r in nearest_line(points, lines).collect()}
+    # boxes alone leave some 500 pieces for a search here
+    assert asked[0].count() < 40 * 1500
+    rows = np.array([tuple(r) for r in made.orderBy("id").collect()])
+    a, b = rows[:, 3:5], rows[:, 5:7]
+    for row in rows[::25]:
+        p = row[1:3]
+        w = np.clip(((p - a) * (b - a)).sum(1) / ((b - a) ** 2).sum(1), 0, 1)
+        away = np.hypot(*(a + w[:, None] * (b - a) - p).T)
+        assert found[int(row[0])]["dist"] == pytest.approx(away.min(), abs=1e-12)
+        assert found[int(row[0])]["line_id"] == int(away.argmin())
