@@ -103,3 +103,12 @@ def test_entity_refuses_repeated_keys(spark):
     with pytest.raises(Exception, match="is repeated in one of"):
         entity({"a": a, "b": b}, ["k"]).collect()
     assert sorted(map(tuple, entity({"a": a.where("a = 2"), "b": b}, ["k"]).collect()), key=str) == [(1, 2, 5), (2, None, 6)]
+
+
+def test_order_lines_are_counted_after_the_join_with_their_area(tables):
+    wide = tables.fx_wide()
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [o_custkey" in plan and "Aggregate [l_orderkey" not in plan
+    counted = wide.agg(*[F.sum(f"flag_{f}") for f in "anr"]).first()
+    lines = tables.lineitem.join(tables.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    assert list(counted) == [lines.where(F.col("l_returnflag") == f).count() for f in "ANR"]
