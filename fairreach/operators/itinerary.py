@@ -59,21 +59,24 @@ def parse_itineraries(
     An error whose text is part of TOO_CLOSE is a valid empty trip; any other error, an unreadable
     reply or a missing field is a failed one. Of several itineraries the last counts.
     """
-    reply = F.from_xml(F.col(xml_col), REPLY_SCHEMA, {"mode": "PERMISSIVE"})
+    # the fields are elements alone, so attributes are not gathered
+    reply = F.from_xml(F.col(xml_col), REPLY_SCHEMA, {"mode": "PERMISSIVE", "excludeAttribute": "true"})
     replies = _computed_once(df.select(*id_cols, xml_col), id_cols, r=reply)
     nested = F.flatten(F.filter(F.transform("r.plan.itineraries", lambda p: p["itineraries"]), lambda a: a.isNotNull()))
+    last = F.try_element_at(nested, F.lit(-1))
+    leg_groups = F.filter(last["legs"], lambda g: g["legs"].isNotNull())
+    legs = F.coalesce(F.flatten(F.transform(leg_groups, lambda g: g["legs"])), F.array().cast("array<struct<distance:double>>"))
     failed = F.col("r.error.msg").isNotNull()
-    parsed = _computed_once(
-        replies,
-        id_cols,
-        asked=F.concat_ws(" ", "r.requestParameters.date", "r.requestParameters.time").try_cast("timestamp_ntz"),
-        it=F.try_element_at(nested, F.lit(-1)),
-        failed=failed,
-        close=failed & F.lit(TOO_CLOSE).contains(F.col("r.error.message")),
+    # functions on arrays end here: beside them no other expression of a step is compiled with the steps around it
+    parsed = replies.select(
+        *id_cols,
+        F.concat_ws(" ", "r.requestParameters.date", "r.requestParameters.time").try_cast("timestamp_ntz").alias("asked"),
+        last.alias("it"),
+        F.aggregate(legs, F.lit(0.0), lambda acc, leg: acc + leg["distance"]).alias("total_dist"),
+        failed.alias("failed"),
+        (failed & F.lit(TOO_CLOSE).contains(F.col("r.error.message"))).alias("close"),
     )
-    leg_groups = F.filter(F.col("it.legs"), lambda g: g["legs"].isNotNull())
-    legs = F.coalesce(F.flatten(F.transform(leg_groups, lambda g: g["legs"])), F.array().cast("array<struct<distance:double>>"))
-    total_dist = F.aggregate(legs, F.lit(0.0), lambda acc, leg: acc + leg["distance"])
+    total_dist = F.col("total_dist")
     departure = from_epoch_ms(F.col("it.startTime"), shift_hours, zone)
     arrival = from_epoch_ms(F.col("it.endTime"), shift_hours, zone)
     cents = F.col("it.fare.details.regular.price.cents")

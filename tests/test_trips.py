@@ -265,3 +265,21 @@ def test_keys_without_a_parent_raise(spark):
     combine.require_known(child, "k", spark.createDataFrame([("a",), ("b",), ("c",)], "p string"), "p")
     with pytest.raises(ValueError, match="b"):
         combine.require_known(child, "k", spark.createDataFrame([("a",)], "p string"), "p")
+
+
+def test_replies_are_read_by_compiled_steps(spark):
+    """Functions on arrays are kept out of the generators, which run uncompiled beside them; attributes change nothing."""
+    ride = "<duration u='s'>{d}</duration><startTime>3600000</startTime><endTime>7200000</endTime><walkTime>60</walkTime>" \
+        "<transitTime>120</transitTime><waitingTime>5</waitingTime><walkDistance>10</walkDistance><transfers>1</transfers>"
+    legs = "<legs id='x'><legs><distance u='m'>30</distance></legs><legs><distance>12.5</distance></legs></legs>"
+    one = lambda d: f"<itineraries k='v'>{ride.format(d=d)}{legs}</itineraries>"
+    head = "<response v='1'><requestParameters><date>1970-01-01</date><time>01:30</time></requestParameters><error/>"
+    xml = f"{head}<plan><itineraries>{one(7)}{one(200)}</itineraries></plan></response>"
+    parsed = itinerary.parse_itineraries(spark.createDataFrame([(1, xml), (2, "<broken"), (3, None)], "id int, xml string"), "xml", ["id"])
+    rows = {r["id"]: r for r in parsed.collect()}
+    assert rows[1]["ok"] and rows[1]["total_time"] == 200 and rows[1]["total_dist"] == 42.5 and rows[1]["transit_dist"] == 32.5
+    assert rows[1]["departure_time"] == "1970-01-01 02:00:00" and rows[1]["initial_wait_time"] == 1800
+    assert not rows[2]["ok"] and not rows[3]["ok"]
+    plan = parsed._jdf.queryExecution().executedPlan().toString().splitlines()
+    generators = [line for line in plan if "Generate " in line]
+    assert generators and not [line for line in generators if "lambdafunction" in line]
