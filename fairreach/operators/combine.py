@@ -84,11 +84,11 @@ def otp_trips(trips: DataFrame, oa: DataFrame, poi: DataFrame) -> DataFrame:
 
 
 def full_results(long: DataFrame, trips: DataFrame, timestamps: DataFrame, k_poi: DataFrame) -> DataFrame:
-    """Long results with area, destination, type and stratum; a time in two strata counts in both."""
-    # the trips are joined with their small tables first, so the long table is shuffled once
+    """Long or wide results with area, destination, type and stratum; a time in two strata counts in both."""
+    # the trips are joined with their small tables first, so the results are shuffled once
     labelled = (
         trips.select("trip_id", "oa_id", "poi_id", "date", "time")
         .join(timestamps.select("date", "time", "stratum"), ["date", "time"])
         .join(k_poi.select("oa_id", "poi_id", "poi_type"), ["oa_id", "poi_id"])
     )
-    return long.join(labelled, "trip_id").select("trip_id", "metric", "value", "oa_id", "poi_id", "poi_type", "stratum")
+    return long.join(labelled, "trip_id").select(*long.columns, "oa_id", "poi_id", "poi_type", "stratum")

@@ -22,14 +22,30 @@ GROUP_VALUES = 100_000
 MOST_LARGE = 10_000
 #: Buckets of a round.
 BUCKETS = 1024
+#: Hash values of the groups by which rows are counted first: where few rows share one, no group among them is large.
+HASHES = 1 << 18
+
+
+def _in_the_middle(keys: Sequence[str], value: str) -> Column:
+    """Whether a row holds the lower middle of its group; place and size come from one sort."""
+    ordered = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
+    known = F.count(value).over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return F.row_number().over(ordered) == F.greatest(F.ceil(known / 2), F.lit(1))
 
 
 def _lower_middle(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """One shuffle by group, one sort by group and value."""
-    group = Window.partitionBy(*keys)
-    at, known = F.row_number().over(group.orderBy(F.col(value).asc_nulls_last())), F.count(value).over(group)
-    placed = df.select(*keys, value, at.alias("_at"), known.alias("_known"))
-    return placed.where(F.col("_at") == F.greatest(F.ceil(F.col("_known") / 2), F.lit(1))).select(*keys, value)
+    return df.select(*keys, value, _in_the_middle(keys, value).alias("_hit")).where("_hit").select(*keys, value)
+
+
+def _both_middles(rows: DataFrame, others: Sequence[str], stratum: str, value: str) -> DataFrame:
+    """The lower middles per group and stratum, and those per group as ``All times``: one shuffle, two sorts."""
+    own, overall = _in_the_middle([*others, stratum], value), _in_the_middle(others, value)
+    placed = rows.repartition(*others).select(*others, stratum, value, own.alias("_own"), overall.alias("_overall"))
+    label = lambda c: F.struct(c.cast("string").alias(stratum))
+    labels = F.array(F.when(F.col("_own"), label(F.col(stratum))), F.when(F.col("_overall"), label(F.lit(ALL_TIMES))))
+    hits = placed.where("_own or _overall").select(*others, value, F.inline(F.array_compact(labels)))
+    return hits.select(*others, stratum, value)
 
 
 def _same(keys: Sequence[str], other: str = "_") -> Column:
@@ -38,6 +54,12 @@ def _same(keys: Sequence[str], other: str = "_") -> Column:
 
 def _large_groups(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame | None:
     """``_keys.., _lo, _hi, _left, _rank``: bounds and number of the values of each large group, and the place of its median; None without any."""
+    # counted by hash, the rows are not shuffled; those of groups that share no full hash value need no count of their own
+    hashed = rows.withColumn("_hash", F.pmod(F.xxhash64(*keys), F.lit(HASHES)))
+    full = stored(hashed.groupBy("_hash").agg(F.count(value).alias("_n")).where(F.col("_n") > GROUP_VALUES), "full-hashes")
+    if full.isEmpty():
+        return None
+    rows = hashed.join(F.broadcast(full.select("_hash")), "_hash")
     sizes = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_left")
     )
@@ -86,7 +108,12 @@ def _medians(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     if groups is None:
         return _lower_middle(rows, keys, value)
     small = rows.join(F.broadcast(groups.select(*[f"_{k}" for k in keys])), _same(keys), "left_anti")
-    out = [_lower_middle(small, keys, value)]
+    return _lower_middle(small, keys, value).unionByName(_large_medians(rows, groups, keys, value))
+
+
+def _large_medians(rows: DataFrame, groups: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Of the large ``groups`` alone."""
+    out = []
     groups = stored(groups, "bounds")
     while True:
         done = (F.col("_left") <= GROUP_VALUES) | (F.col("_lo") == F.col("_hi"))
@@ -106,8 +133,15 @@ def median_with_all(df: DataFrame, keys: Sequence[str], stratum: str, value: str
     """Medians per stratum plus the median over all rows, labelled ``All times``."""
     others = [k for k in keys if k != stratum]
     rows = stored(df.select(*others, stratum, value), "values")
-    overall = _medians(rows, others, value).withColumn(stratum, F.lit(ALL_TIMES))
-    return _medians(rows, [*others, stratum], value).unionByName(overall)
+    groups = _large_groups(rows, others, value)
+    if groups is None:
+        return _both_middles(rows, others, stratum, value)
+    # a large group in a stratum is part of one over all strata
+    listed = F.broadcast(groups.select(*[f"_{k}" for k in others]))
+    large = rows.join(listed, _same(others), "left_semi")
+    out = _both_middles(rows.join(listed, _same(others), "left_anti"), others, stratum, value)
+    out = out.unionByName(_large_medians(rows, groups, others, value).withColumn(stratum, F.lit(ALL_TIMES)))
+    return out.unionByName(_medians(large, [*others, stratum], value))
 
 
 def best_poi(medians: DataFrame, keys: Sequence[str] = ("oa_id", "poi_type", "stratum", "metric")) -> DataFrame:

@@ -20,10 +20,10 @@ def populations(oa: DataFrame, groups: Mapping[str, Sequence[str]], key: str = "
     return wide.unpivot(["oa_id"], list(groups), "population", "count")
 
 
-def to_long(results: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
-    """``(trip_id, metric, value)`` for each ``{metric: column}``."""
-    wide = results.select("trip_id", *[F.col(c).cast("double").alias(m) for m, c in metrics.items()])
-    return wide.unpivot(["trip_id"], list(metrics), "metric", "value")
+def to_long(results: DataFrame, metrics: Mapping[str, str], keys: Sequence[str] = ("trip_id",)) -> DataFrame:
+    """``(trip_id, metric, value)`` for each ``{metric: column}``, or with other ``keys`` than the trip."""
+    wide = results.select(*keys, *[F.col(c).cast("double").alias(m) for m, c in metrics.items()])
+    return wide.unpivot(list(keys), list(metrics), "metric", "value")
 
 
 def zip_explode(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -136,7 +136,9 @@ def map_from_results(
 
     ``centroids`` (oa_id and further columns) are carried into the result where given.
     """
-    full = full_results(to_long(results, metrics), trips, timestamps, k_poi)
+    # one row a result meets its trip, and is made long when it has its labels
+    wide = full_results(results.select("trip_id", *dict.fromkeys(metrics.values())), trips, timestamps, k_poi)
+    full = to_long(wide, metrics, ["trip_id", "oa_id", "poi_id", "poi_type", "stratum"])
     best = map_attributes(full, in_seconds)
     # a centroid follows from its area, so it joins the few rows at the end
     return best if centroids is None else best.join(centroids, "oa_id")

@@ -74,3 +74,19 @@ def test_large_groups_are_narrowed_down(spark, monkeypatch):
     values = sorted(float(i) if i % 3 == 0 else 2.5 for i in range(50_000))
     assert got[None] == values[24_999] == 2.5
     assert max(x for left in taken for x in left) <= 1000
+
+
+def test_strata_and_all_times_share_a_shuffle(spark):
+    df = spark.createDataFrame(sample(), "k string, s string, v double")
+    plan = medians.median_with_all(df, ["k", "s"], "s", "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_large_groups_beside_small_ones_by_stratum(spark, monkeypatch):
+    """Groups that are large over all strata only, in one stratum too, or not at all."""
+    monkeypatch.setattr(medians, "GROUP_VALUES", 100)
+    rows = sample() + [(None, "y", float(i % 7)) for i in range(150)] + [("few", s, float(i)) for i in range(30) for s in "xy"]
+    df = spark.createDataFrame(rows, "k string, s string, v double")
+    want = plain(rows) | {(k, medians.ALL_TIMES): v for (k, _), v in plain([(k, None, v) for k, _, v in rows]).items()}
+    got = medians.median_with_all(df, ["k", "s"], "s", "v").collect()
+    assert len(got) == len(want) and {(r["k"], r["s"]): r["v"] for r in got} == want
