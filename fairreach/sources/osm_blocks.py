@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from fairreach.sources.shapefile import files_of, open_folder, read_range
 from fairreach.sources.spatial import located_ways
@@ -64,6 +64,25 @@ def _one(data: bytes, at: int) -> tuple[int, int]:
         shift += 7
 
 
+def _few(packed: bytes) -> list[int]:
+    """Unsigned numbers of a short packed list."""
+    out, at = [], 0
+    while at < len(packed):
+        value, at = _one(packed, at)
+        out.append(value)
+    return out
+
+
+def _running(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Packed lists of signed steps as running sums, one list after the other, and where each begins and ends."""
+    data = b"".join(lists)
+    # a number ends with a byte below 128
+    upto = np.concatenate([[0], np.cumsum(np.frombuffer(data, np.uint8) < 128)])
+    ends = upto[np.concatenate([[0], np.cumsum([len(v) for v in lists], dtype=np.int64)])]
+    sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(signed(varints(data)))])
+    return sums[1:] - np.repeat(sums[ends[:-1]], np.diff(ends)), ends
+
+
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
     """Number and value of each field of a message."""
     at = 0
@@ -130,16 +149,19 @@ class Block:
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, degrees)], names=["id", "lat", "lon"])
 
     def ways(self) -> Iterator[pa.RecordBatch]:
-        ids, tags, refs = [], [], []
+        ids, tags, packed_refs = [], [], []
         for group in self.groups:
             for number, value in fields(group):
                 if number == _WAYS:
                     found = dict(fields(value))
                     ids.append(_sint(found[_ID]))
-                    pairs = zip(varints(found.get(_KEYS, b"")).tolist(), varints(found.get(_VALUES, b"")).tolist(), strict=True)
+                    pairs = zip(_few(found.get(_KEYS, b"")), _few(found.get(_VALUES, b"")), strict=True)
                     tags.append([(self.strings[k], self.strings[v]) for k, v in pairs])
-                    refs.append(np.cumsum(signed(varints(found.get(_REFS, b"")))))
-        columns = [pa.array(ids, pa.int64()), pa.array(tags, pa.map_(pa.string(), pa.string())), pa.array(refs, pa.list_(pa.int64()))]
+                    packed_refs.append(found.get(_REFS, b""))
+        # the references of all ways are unpacked together
+        refs, ends = _running(packed_refs)
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(refs, pa.int64()))
+        columns = [pa.array(ids, pa.int64()), pa.array(tags, pa.map_(pa.string(), pa.string())), listed]
         yield pa.RecordBatch.from_arrays(columns, names=["id", "tags", "refs"])
 
 
@@ -211,12 +233,18 @@ def read_way_blocks(spark: SparkSession, path: str, task_bytes: int = TASK_BYTES
 # --- writing
 
 
+def _sizes(numbers: np.ndarray) -> np.ndarray:
+    """Bytes that each unsigned number takes."""
+    size = np.ones(len(numbers), np.int64)
+    for k in range(1, 10):
+        size += numbers >= np.uint64(1) << np.uint64(7 * k)
+    return size
+
+
 def packed(numbers: np.ndarray) -> bytes:
     """Unsigned numbers as a packed list."""
     rest = numbers.astype(np.uint64)
-    size = np.ones(len(rest), np.int64)
-    for k in range(1, 10):
-        size += rest >= np.uint64(1) << np.uint64(7 * k)
+    size = _sizes(rest)
     out = np.zeros(int(size.sum()), np.uint8)
     first = np.cumsum(size) - size
     for k in range(int(size.max(initial=0))):
@@ -226,15 +254,40 @@ def packed(numbers: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def _deltas(numbers: list[int]) -> bytes:
-    steps = np.diff(np.array(numbers, np.int64), prepend=np.int64(0))
-    return packed(((steps << 1) ^ (steps >> 63)).view(np.uint64))
+def _zigzag(steps: np.ndarray) -> np.ndarray:
+    return ((steps << 1) ^ (steps >> 63)).view(np.uint64)
+
+
+def _deltas(numbers: list[int] | np.ndarray) -> bytes:
+    return packed(_zigzag(np.diff(np.array(numbers, np.int64), prepend=np.int64(0))))
+
+
+def _each_deltas(lists: list[list[int]]) -> list[bytes]:
+    """:func:`_deltas` of each list, packed together."""
+    lengths = np.array([len(v) for v in lists], np.int64)
+    numbers = np.array([n for v in lists for n in v], np.int64)
+    steps = np.diff(numbers, prepend=np.int64(0))
+    first = (np.cumsum(lengths) - lengths)[lengths > 0]
+    steps[first] = numbers[first]
+    whole = _zigzag(steps)
+    ends = np.concatenate([[0], np.cumsum(_sizes(whole))])[np.concatenate([[0], np.cumsum(lengths)])].tolist()
+    data = packed(whole)
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def _varint(value: int) -> bytes:
+    out = bytearray()
+    while value > 127:
+        out.append(value & 127 | 128)
+        value >>= 7
+    out.append(value)
+    return bytes(out)
 
 
 def _field(number: int, value: int | bytes) -> bytes:
     if isinstance(value, bytes):
-        return packed(np.array([number << 3 | _BYTES, len(value)])) + value
-    return packed(np.array([number << 3 | _VARINT, value & (1 << 64) - 1], np.uint64))
+        return _varint(number << 3 | _BYTES) + _varint(len(value)) + value
+    return _varint(number << 3 | _VARINT) + _varint(value & (1 << 64) - 1)
 
 
 def _blob(kind: bytes, data: bytes) -> bytes:
@@ -243,23 +296,36 @@ def _blob(kind: bytes, data: bytes) -> bytes:
     return struct.pack(">I", len(head)) + head + blob
 
 
-def node_block(rows: list) -> bytes:
+def _known(rows: pa.Table, name: str) -> np.ndarray:
+    column = rows.column(name)
+    if column.null_count:
+        raise ValueError(f"nodes without {name}")
+    return column.to_numpy()
+
+
+def node_block(rows: pa.Table) -> bytes:
     """A block of nodes (id, lat, lon), to the ten millionth of a degree."""
-    whole = lambda name: [round(r[name] * 1e7) for r in rows]
-    dense = _field(_ID, _deltas([r["id"] for r in rows])) + _field(_LAT, _deltas(whole("lat"))) + _field(_LON, _deltas(whole("lon")))
+
+    def whole(name: str) -> np.ndarray:
+        units = np.rint(_known(rows, name) * 1e7)
+        if not (np.abs(units) < 2.0**63).all():
+            raise ValueError(f"{name} is no number of degrees")
+        return units.astype(np.int64)
+
+    dense = _field(_ID, _deltas(_known(rows, "id"))) + _field(_LAT, _deltas(whole("lat"))) + _field(_LON, _deltas(whole("lon")))
     return _field(_STRINGS, _field(1, b"")) + _field(_GROUP, _field(_DENSE, dense))
 
 
-def way_block(rows: list) -> bytes:
+def way_block(rows: pa.Table) -> bytes:
     """A block of ways (id, tags, refs)."""
+    rows = rows.to_pylist()
     strings: dict[str, int] = {"": 0}
-    ways = b""
-    for r in rows:
-        tags = r["tags"] or {}
-        keys, values = ([strings.setdefault(s, len(strings)) for s in own] for own in (tags.keys(), tags.values()))
-        way = _field(_ID, r["id"]) + _field(_KEYS, packed(np.array(keys))) + _field(_VALUES, packed(np.array(values)))
-        ways += _field(_WAYS, way + _field(_REFS, _deltas(r["refs"] or [])))
-    return _field(_STRINGS, b"".join(_field(1, s.encode()) for s in strings)) + _field(_GROUP, ways)
+    ways = []
+    for r, refs in zip(rows, _each_deltas([r["refs"] or [] for r in rows])):
+        tags = dict(r["tags"] or ())
+        keys, values = (b"".join(_varint(strings.setdefault(s, len(strings))) for s in own) for own in (tags.keys(), tags.values()))
+        ways.append(_field(_WAYS, _field(_ID, r["id"]) + _field(_KEYS, keys) + _field(_VALUES, values) + _field(_REFS, refs)))
+    return _field(_STRINGS, b"".join(_field(1, s.encode()) for s in strings)) + _field(_GROUP, b"".join(ways))
 
 
 class Written(WriterCommitMessage):
@@ -267,27 +333,36 @@ class Written(WriterCommitMessage):
         self.file = file
 
 
-class BlockWriter(DataSourceWriter):
+def _runs(batches: Iterator[pa.RecordBatch], names: list[str], size: int) -> Iterator[pa.Table]:
+    """The rows in tables of ``size``, the last one of what is left."""
+    held, many = [], 0
+    for batch in batches:
+        batch = batch.rename_columns(names)
+        while many + batch.num_rows >= size:
+            yield pa.Table.from_batches([*held, batch.slice(0, size - many)])
+            batch, held, many = batch.slice(size - many), [], 0
+        if batch.num_rows:
+            held.append(batch)
+            many += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class BlockWriter(DataSourceArrowWriter):
     """One file of blocks a task. What a lost task has written is not seen: files get their name when all tasks have ended."""
 
     def __init__(self, path: str, schema: T.StructType, block_rows: int):
-        self.path, self.block_rows = path, block_rows
-        self.block = way_block if "refs" in schema.fieldNames() else node_block
+        self.path, self.block_rows, self.names = path, block_rows, schema.fieldNames()
+        self.block = way_block if "refs" in self.names else node_block
 
-    def write(self, rows: Iterator) -> WriterCommitMessage:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         system, folder = open_folder(self.path)
         system.create_dir(folder, recursive=True)
         at = f"{folder}/part-{uuid.uuid4().hex}.pbf"
         with system.open_output_stream(at + _UNSEEN) as out:
             out.write(_blob(b"OSMHeader", _field(4, b"OsmSchema-V0.6") + _field(4, b"DenseNodes")))
-            held = []
-            for row in rows:
-                held.append(row)
-                if len(held) == self.block_rows:
-                    out.write(_blob(b"OSMData", self.block(held)))
-                    held = []
-            if held:
-                out.write(_blob(b"OSMData", self.block(held)))
+            for rows in _runs(batches, self.names, self.block_rows):
+                out.write(_blob(b"OSMData", self.block(rows)))
         return Written(at)
 
     def commit(self, messages: list) -> None:

@@ -92,3 +92,29 @@ def test_single_nodes_raw_blobs_and_scales():
         assert batch.to_pylist() == [{"id": -5, "lat": pytest.approx(99_500e-9), "lon": pytest.approx(-5_000e-9)}]
     with pytest.raises(ValueError, match="unknown method"):
         osm_blocks._unpacked(osm_blocks._field(4, b"x"))
+
+
+def test_the_references_of_a_block_are_packed_together(monkeypatch):
+    """As many passes over arrays for a thousand ways as for one, and the same bytes and rows."""
+    import pyarrow as pa
+
+    kind = pa.schema([("id", pa.int64()), ("tags", pa.map_(pa.string(), pa.string())), ("refs", pa.list_(pa.int64()))])
+    table = lambda rows: pa.Table.from_pylist([r | {"tags": r["tags"] and list(r["tags"].items())} for r in rows], kind)
+    lists = [[(i * 7919 % 1000 - 500) * 10 ** (i % 15) for i in range(n % 9)] for n in range(1000)]
+    lists[3] = [-(1 << 62), (1 << 62) - 1]
+    rows = [{"id": -i, "tags": {"k": str(i % 300), "": "v"} if i % 3 else None, "refs": refs or None} for i, refs in enumerate(lists)]
+    calls, plain, unpack = [], osm_blocks.packed, osm_blocks.varints
+    monkeypatch.setattr(osm_blocks, "packed", lambda n: calls.append(1) or plain(n))
+    monkeypatch.setattr(osm_blocks, "varints", lambda n: calls.append(1) or unpack(n))
+    data = osm_blocks.way_block(table(rows))
+    (batch,) = osm_blocks.Block(data).ways()
+    assert len(calls) == 2
+    assert batch.column("refs").to_pylist() == lists and batch.column("id").to_pylist() == [r["id"] for r in rows]
+    assert [dict(t) for t in batch.column("tags").to_pylist()] == [r["tags"] or {} for r in rows]
+    assert osm_blocks._each_deltas(lists) == [osm_blocks._deltas(v) for v in lists]
+    for v in (0, 127, 128, 300, (1 << 64) - 1):
+        assert osm_blocks._varint(v) == plain(np.array([v], np.uint64))
+    assert list(osm_blocks.Block(osm_blocks.way_block(table([]))).ways())[0].num_rows == 0
+    for bad in (None, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            osm_blocks.node_block(pa.table({"id": [1, 2], "lat": [1.0, bad], "lon": [1.0, 2.0]}))
