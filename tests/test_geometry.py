@@ -306,3 +306,19 @@ def test_long_crossing_lines_are_looked_at_by_few_searches(spark, monkeypatch):
         away = np.hypot(*(a + w[:, None] * (b - a) - p).T)
         assert found[int(row[0])]["dist"] == pytest.approx(away.min(), abs=1e-12)
         assert found[int(row[0])]["line_id"] == int(away.argmin())
+
+
+def test_pieces_beyond_the_reach_are_left_out_before_the_shuffle(spark, monkeypatch):
+    draw = lambda seed: F.round(F.randn(seed) * 0.1, 6)
+    made = spark.range(0, 1500, 1, 4).select("id", *[draw(i).alias(f"v{i}") for i in range(6)]).localCheckpoint()
+    points = made.select(F.col("id").alias("point_id"), F.col("v0").alias("x"), F.col("v1").alias("y"))
+    lines = made.select(F.col("id").alias("line_id"), F.array(geo.point(F.col("v2"), F.col("v3")), geo.point(F.col("v4"), F.col("v5"))).alias("way"))
+    pruned, shuffled = nearest._prune, []
+    monkeypatch.setattr(nearest, "_prune", lambda frontier, *a: shuffled.append(frontier) or pruned(frontier, *a))
+    assert nearest_line(points, lines).count() == 1500
+    # the last frontier holds pieces; a box may be near while the segment in it is not
+    mx, my = (F.col("_from0") + F.col("_to0")) / 2, (F.col("_from1") + F.col("_to1")) / 2
+    foot = geo.on_segment(geo.point(mx, my), geo.point(F.col("ax"), F.col("ay")), geo.point(F.col("bx"), F.col("by")))
+    half = geo.dist_euclid(F.col("_from0"), F.col("_from1"), F.col("_to0"), F.col("_to1")) / 2
+    beyond = geo.dist_euclid(mx, my, foot["x"], foot["y"]) > (F.col("_reach") + half) * (1 + 1e-6) + 1e-6
+    assert shuffled[-1].where("_reach < 10").count() >= 1000 and shuffled[-1].where(beyond).count() == 0
