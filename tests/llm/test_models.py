@@ -1,11 +1,14 @@
 """Language, toxicity and language-model operators against plain versions and held-out rows."""
 
+import copy
 import math
 import zlib
 from collections import Counter
 from itertools import product
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -315,6 +318,27 @@ def test_lm_score_equals_plain_dictionaries(spark, monkeypatch, messy, most_bits
     assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=2e-3)
 
 
+def test_lm_workers_share_the_filter(spark):
+    """A filter of 256 MB is mapped by the workers, not held by each; a second call sends no other file."""
+    docs = spark.createDataFrame([(k, f"a b{k % 7} a c") for k in range(200)], "doc_id long, text string").repartition(4)
+    model, words = ngram_lm.train(docs)
+    want = {r.doc_id: r.score for r in ngram_lm.score(docs, model, words).collect()}
+    plain = model.score([f"a b{k % 7} a c".encode() for k in range(200)])[1]
+    assert want == pytest.approx(dict(enumerate(plain.tolist())))
+    assert model.sent(spark) == model.sent(spark)
+
+    large = copy.copy(model)
+    large.filter, large.file = ngram_lm.Filter(1 << 15), None
+
+    def rows(own, ids, texts, find):
+        own.score(texts, find)
+        kb = next(int(line.split()[1]) for line in Path("/proc/self/status").read_text().splitlines() if line.startswith("RssAnon"))
+        return pa.RecordBatch.from_arrays([ids, pa.array([kb] * len(ids), pa.int64())], names=["doc_id", "kb"])
+
+    held = ngram_lm._scored(docs, large, "doc_id bigint, kb bigint", rows).collect()
+    assert len(held) == 200 and max(r.kb for r in held) < 220_000
+
+
 def test_lm_probabilities_add_up(spark):
     docs = spark.createDataFrame([(1, "a b a c"), (2, "a b b"), (3, None)], "doc_id long, text string")
     model, _ = ngram_lm.train(docs)
