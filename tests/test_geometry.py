@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -156,6 +157,21 @@ def test_points_in_polygons_of_all_sizes(spark, monkeypatch, cell_points, split)
     assert len(rows) == len(want) and {(r["point_id"], r["poly_id"]) for r in rows} == want
 
 
+def test_pairs_of_few_rows_spread_over_tasks(spark, monkeypatch):
+    """Two small tables of one part each, nearly all in one cell: their pairs are dealt over tasks."""
+    monkeypatch.setattr(containment, "TASK_PAIRS", 2_000)
+    rnd = random.Random(7)
+    squares = [(rnd.uniform(0.2, 0.3), rnd.uniform(0.2, 0.3)) for _ in range(150)]
+    polys = polygons(spark, *[[[[(x - 0.3, y - 0.3), (x + 0.3, y - 0.3), (x + 0.3, y + 0.3), (x - 0.3, y + 0.3)]]] for x, y in squares]).coalesce(1)
+    pts = [(i, rnd.uniform(-0.2, 0.8), rnd.uniform(-0.2, 0.8)) for i in range(1_000)] + [(-1, None, 0.1), (-2, 0.1, None)]
+    points = spark.createDataFrame(pts, "point_id int, x double, y double").coalesce(1)
+    want = {(i, j) for i, x, y in pts[:-2] for j, (a, b) in enumerate(squares) if a - 0.3 < x < a + 0.3 and b - 0.3 < y < b + 0.3}
+    rows = points_in_polygons(points, polys).withColumn("task", F.spark_partition_id()).collect()
+    assert len(rows) == len(want) > 20_000 and {(r["point_id"], r["poly_id"]) for r in rows} == want
+    most = max(Counter(r["task"] for r in rows).values())
+    assert most < len(rows) / 5
+
+
 def ring(rnd, n, x, y, size):
     """A star-shaped ring of n vertices on a coarse lattice, so that points fall on edges and vertices too."""
     turns = sorted(rnd.random() * 2 * math.pi for _ in range(n))
