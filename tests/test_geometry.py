@@ -157,6 +157,18 @@ def test_points_in_polygons_of_all_sizes(spark, monkeypatch, cell_points, split)
     assert len(rows) == len(want) and {(r["point_id"], r["poly_id"]) for r in rows} == want
 
 
+def test_few_edges_written_out_give_the_same(spark):
+    """On a lattice, so that points fall on edges and vertices; with holes, repeated and unknown vertices, and more places than edges."""
+    rings = [[[(0, 0), (3, 1), (1, 3)]], [[(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]], [[(0, 0), (4, 0), (0, 4)], [(1, 1), (2, 1), (1, 2)]], [[(0, 0), (0, 0)]], [[(1, 1), (3, None), (2, 4)]], [[]]]
+    shapes = [(k, [[[tuple(None if c is None else float(c) for c in p) for p in r] for r in own]]) for k, own in enumerate(rings)]
+    polys = spark.createDataFrame(shapes, "poly_id int, geometry array<array<array<struct<x: double, y: double>>>>")
+    cases = [(x / 2, y / 2) for x in range(-1, 10) for y in range(-1, 10)] + [(None, 1.0), (1.0, float("nan"))]
+    pt, own = F.struct("x", "y"), geo.edges(F.col("geometry"))
+    both = polys.crossJoin(spark.createDataFrame(cases, "x double, y double")).select("poly_id", "x", "y", geo.within_edges(pt, own).alias("a"), geo.within_few_edges(pt, own, 6).alias("b")).collect()
+    assert [(r.poly_id, r.x, r.y) for r in both if r.a is not r.b and (r.a or r.b)] == []
+    assert sum(bool(r.b) for r in both) > 20
+
+
 def test_pairs_of_few_rows_spread_over_tasks(spark, monkeypatch):
     """Two small tables of one part each, nearly all in one cell: their pairs are dealt over tasks."""
     monkeypatch.setattr(containment, "TASK_PAIRS", 2_000)
