@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fairreach import settings
 from fairreach.operators import calendar, clean, combine, itinerary, reshape, trips
+from fairreach.operators.combine import END_COLUMNS, otp_trips, with_ends
 
 HEAD = "<response><requestParameters><date>2020-07-28</date><time>07:07</time></requestParameters>"
 RIDE = (
@@ -134,6 +135,19 @@ def test_trip_ids_and_appending(spark):
     assert trips.cross_trips(pairs(spark, 3), stamps(spark, 0)).count() == 0
 
 
+def test_trips_by_pair_are_the_same_trips(spark):
+    placed = pairs(spark, 20).withColumn("oa_lat", F.col("poi_id") * 0.5)
+    made = trips.cross_trips(placed, stamps(spark, 3), keep=["oa_lat"], by_pair=True)
+    plain = trips.cross_trips(pairs(spark, 20), stamps(spark, 3))
+    assert sorted(made.drop("oa_lat").collect()) == sorted(plain.collect()) and made.where("oa_lat <> poi_id * 0.5").count() == 0
+    assert trips.cross_trips(placed.limit(0), stamps(spark, 3), by_pair=True).count() == 0
+    at = trips.TRIP_COLUMNS
+    ends = [spark.createDataFrame([(k, 1.0, 2.0) for k in keys], f"{name}, lat double, lon double") for name, keys in (("oa_id string", ["E001", "E002"]), ("poi_id bigint", [1, 5]))]
+    located = trips.cross_trips(with_ends(pairs(spark, 20), *ends), stamps(spark, 3), keep=END_COLUMNS, by_pair=True)
+    later = otp_trips(located.select(at), *ends, carry=["stratum"])
+    assert sorted(otp_trips(located, *ends, carry=["stratum"]).collect()) == sorted(later.collect()) and later.count() == 3
+
+
 def test_no_product_join_in_the_trip_plan(spark):
     plan = trips.cross_trips(pairs(spark, 20), stamps(spark, 3))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
