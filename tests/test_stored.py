@@ -15,6 +15,7 @@ from fairreach.catalog.served import reply_router
 from fairreach.operators import cube, itinerary, trips
 from fairreach.plans.costing import CostLedger
 from fairreach.plans.serving import CubeStore
+from fairreach.session import BROADCAST_ROWS, by_rows, stored
 from fairreach.sources.trip_table import TripTable
 from fairreach.sources.versions import VersionedTable
 
@@ -37,6 +38,22 @@ def rows_of(df):
     return sorted(tuple(r[c] for c in trips.TRIP_COLUMNS) for r in df.collect())
 
 
+# --- intermediate tables
+def test_many_repeated_rows_in_a_small_file_are_not_broadcast(spark):
+    """Runs of one value fill next to nothing in a file; a broadcast would hold every row in the driver."""
+    other = spark.range(3_000_000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    plans = []
+    for n in (BROADCAST_ROWS + 1, 1_000):
+        same = stored(spark.range(n).select(F.lit(1).cast("bigint").alias("k"), F.lit("x").alias("name")), "same")
+        joined = other.join(same.where("name is not null"), "k")
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        assert joined.count() == n
+    assert "Broadcast" not in plans[0] and "BroadcastHashJoin" in plans[1]
+    # what is broadcast by name stays so
+    named = by_rows(other, 3_000_000).join(F.broadcast(spark.range(3).select(F.col("id").alias("k"))), "k")
+    assert "BroadcastHashJoin" in named._jdf.queryExecution().executedPlan().toString()
+
+
 # --- trips
 
 
