@@ -166,6 +166,29 @@ def test_many_timestamps_meet_the_pairs_by_cells(spark, monkeypatch, most):
     assert trips.cross_trips(pairs(spark, 0), wide).count() == 0
 
 
+def test_by_stamp_the_trips_of_a_time_follow_each_other(spark, monkeypatch):
+    for name, value in {"_BROADCAST_STAMPS": 5, "_SLICE_STAMPS": 4, "_CHUNK_PAIRS": 10}.items():
+        monkeypatch.setattr(trips, name, value)
+    whole = sorted(tuple(r) for r in trips.assign_trip_ids(pairs(spark, 33), stamps(spark, 25)).collect())
+    made = trips.assign_trip_ids(pairs(spark, 33), stamps(spark, 25), by_stamp=True)
+    assert sorted(tuple(r) for r in made.collect()) == whole
+
+    def changes(rows):
+        listed = list(rows)
+        return [sum(a != b for a, b in zip(listed, listed[1:])) + bool(listed)]
+
+    assert made.select("stratum", "date", "time").rdd.mapPartitions(changes).sum() <= 25 * 4
+
+
+@pytest.mark.parametrize("name", ["join_cross", "win_row_id", "join_cross_all"])
+def test_the_product_is_summed_up_by_numbers(spark, name):
+    from fairreach import catalog
+
+    plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("keys=[")[1].split("]")[0] for line in plan.splitlines() if "HashAggregate" in line and "partial_count(1)" in line]
+    assert keys and not any(f"{text}#" in k for k in keys for text in ("stratum", "poi_type", "date", "time"))
+
+
 @pytest.mark.parametrize("name", ["join_cross", "win_row_id", "join_cross_all"])
 def test_the_product_is_summed_up_without_sorting_it(spark, name):
     from fairreach import catalog
