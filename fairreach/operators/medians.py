@@ -8,18 +8,21 @@ all are equal, they are sorted like those of other groups. No task has more of a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairreach.operators.spread import crowded
 from fairreach.session import stored
 
 ALL_TIMES = "All times"
 #: Values of a group that one task sorts, unless more than MOST_LARGE groups can have more.
 GROUP_VALUES = 100_000
 MOST_LARGE = 10_000
+#: Rows with the same keys that one task takes where those are fewer than the keys of a group.
+PLACE_ROWS = 1_000_000
 #: Buckets of a round.
 BUCKETS = 1024
 #: Hash values of the groups by which rows are counted first: where few rows share one, no group among them is large.
@@ -39,9 +42,9 @@ def _lower_middle(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def _both_middles(rows: DataFrame, others: Sequence[str], stratum: str, value: str) -> DataFrame:
-    """The lower middles per group and stratum, and those per group as ``All times``: one shuffle, two sorts."""
+    """The lower middles per group and stratum, and those per group as ``All times``: two sorts of rows that have been shuffled by group."""
     own, overall = _in_the_middle([*others, stratum], value), _in_the_middle(others, value)
-    placed = rows.repartition(*others).select(*others, stratum, value, own.alias("_own"), overall.alias("_overall"))
+    placed = rows.select(*others, stratum, value, own.alias("_own"), overall.alias("_overall"))
     label = lambda c: F.struct(c.cast("string").alias(stratum))
     labels = F.array(F.when(F.col("_own"), label(F.col(stratum))), F.when(F.col("_overall"), label(F.lit(ALL_TIMES))))
     hits = placed.where("_own or _overall").select(*others, value, F.inline(F.array_compact(labels)))
@@ -129,19 +132,42 @@ def median_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return _medians(stored(df.select(*keys, value), "values"), keys, value)
 
 
-def median_with_all(df: DataFrame, keys: Sequence[str], stratum: str, value: str) -> DataFrame:
-    """Medians per stratum plus the median over all rows, labelled ``All times``."""
+def median_with_all(
+    df: DataFrame,
+    keys: Sequence[str],
+    stratum: str,
+    value: str,
+    unfold: Callable[[DataFrame], DataFrame] | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Medians per stratum plus the median over all rows, labelled ``All times``.
+
+    With ``unfold``, each row of ``df`` stands for several, which that makes of it where they are sorted: they are neither
+    stored nor shuffled, and making them shuffles nothing. ``by``, some of the keys that rows have before, then names what they are
+    shuffled by; the medians stay where that puts them, unless more than PLACE_ROWS rows share these keys.
+    """
     others = [k for k in keys if k != stratum]
-    rows = stored(df.select(*others, stratum, value), "values")
-    groups = _large_groups(rows, others, value)
-    if groups is None:
-        return _both_middles(rows, others, stratum, value)
-    # a large group in a stratum is part of one over all strata
-    listed = F.broadcast(groups.select(*[f"_{k}" for k in others]))
-    large = rows.join(listed, _same(others), "left_semi")
-    out = _both_middles(rows.join(listed, _same(others), "left_anti"), others, stratum, value)
-    out = out.unionByName(_large_medians(rows, groups, others, value).withColumn(stratum, F.lit(ALL_TIMES)))
-    return out.unionByName(_medians(large, [*others, stratum], value))
+    if unfold is None:
+        unfold, by, df = (lambda rows: rows), others, df.select(*others, stratum, value)
+    rows = stored(df, "values")
+    groups = _large_groups(unfold(rows), others, value)
+    many = crowded(rows, by, PLACE_ROWS) if list(by) != others else None
+    if groups is None and many is None:
+        return _both_middles(unfold(rows.repartition(*by)), others, stratum, value)
+    full = [] if groups is None else [groups.select(*[f"_{k}" for k in by])]
+    full += [] if many is None else [many.select(*[F.col(k).alias(f"_{k}") for k in by])]
+    hot = F.broadcast(reduce(DataFrame.unionByName, full).distinct())
+    out = _both_middles(unfold(rows.join(hot, _same(by), "left_anti").repartition(*by)), others, stratum, value)
+    # rows of crowded keys, or that stand for one of a large group beside others, are shuffled by their own group
+    rows = rest = unfold(rows.join(hot, _same(by), "left_semi"))
+    if groups is not None:
+        listed = F.broadcast(groups.select(*[f"_{k}" for k in others]))
+        rest = rows.join(listed, _same(others), "left_anti")
+        # a large group in a stratum is part of one over all strata
+        large = rows.join(listed, _same(others), "left_semi")
+        out = out.unionByName(_large_medians(rows, groups, others, value).withColumn(stratum, F.lit(ALL_TIMES)))
+        out = out.unionByName(_medians(large, [*others, stratum], value))
+    return out if list(by) == others else out.unionByName(_both_middles(rest.repartition(*others), others, stratum, value))
 
 
 def best_poi(medians: DataFrame, keys: Sequence[str] = ("oa_id", "poi_type", "stratum", "metric")) -> DataFrame:

@@ -21,9 +21,9 @@ def populations(oa: DataFrame, groups: Mapping[str, Sequence[str]], key: str = "
 
 
 def to_long(results: DataFrame, metrics: Mapping[str, str], keys: Sequence[str] = ("trip_id",)) -> DataFrame:
-    """``(trip_id, metric, value)`` for each ``{metric: column}``, or with other ``keys`` than the trip."""
-    wide = results.select(*keys, *[F.col(c).cast("double").alias(m) for m, c in metrics.items()])
-    return wide.unpivot(list(keys), list(metrics), "metric", "value")
+    """``(trip_id, metric, value)`` for each ``{metric: column}``, or with other ``keys`` than the trip; rows stay in their partition."""
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value")) for m, c in metrics.items()])
+    return results.select(*keys, F.inline(values))
 
 
 def zip_explode(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -136,14 +136,26 @@ def map_from_results(
 
     ``centroids`` (oa_id and further columns) are carried into the result where given.
     """
-    # one row a result meets its trip, and is made long when it has its labels
-    wide = full_results(results.select("trip_id", *dict.fromkeys(metrics.values())), trips, timestamps, k_poi)
-    full = to_long(wide, metrics, ["trip_id", "oa_id", "poi_id", "poi_type", "stratum"])
-    best = map_attributes(full, in_seconds)
+    # one row a result is stored and shuffled, with all strata of its time; strata and metrics get rows of their own where these are sorted
+    times = timestamps.groupBy("date", "time").agg(F.collect_list(F.struct("stratum")).alias("stratum"))
+    wide = full_results(results.select("trip_id", *dict.fromkeys(metrics.values())), trips, times, k_poi).drop("trip_id")
+    keys = ["oa_id", "poi_id", "poi_type", "stratum"]
+
+    def unfold(rows: DataFrame) -> DataFrame:
+        by_stratum = rows.withColumnRenamed("stratum", "_strata").select("*", F.inline("_strata")).drop("_strata")
+        return to_long(by_stratum, metrics, keys)
+
+    # what the best destination is chosen from lies together already
+    medians = median_with_all(wide, [*keys, "metric"], "stratum", "value", unfold, ["oa_id", "poi_type"])
+    best = _map_values(medians, in_seconds)
     # a centroid follows from its area, so it joins the few rows at the end
     return best if centroids is None else best.join(centroids, "oa_id")
 
 
+def _map_values(medians: DataFrame, in_seconds: Sequence[str], area_cols: Sequence[str] = ("oa_id",)) -> DataFrame:
+    return scale_metrics(best_poi(medians, [*area_cols, "poi_type", "stratum", "metric"]), in_seconds)
+
+
 def map_attributes(full: DataFrame, in_seconds: Sequence[str] = (), area_cols: Sequence[str] = ("oa_id",)) -> DataFrame:
     """Per area, type, stratum and metric the best destination's median, seconds as minutes.
 
@@ -151,6 +163,4 @@ def map_attributes(full: DataFrame, in_seconds: Sequence[str] = (), area_cols: S
     such as the centroid, can be carried along.
     """
     keys = [*area_cols, "poi_id", "poi_type", "stratum", "metric"]
-    medians = median_with_all(full, keys, "stratum", "value")
-    best = best_poi(medians, [*area_cols, "poi_type", "stratum", "metric"])
-    return scale_metrics(best, in_seconds)
+    return _map_values(median_with_all(full, keys, "stratum", "value"), in_seconds, area_cols)

@@ -1,8 +1,12 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from fairreach.operators import medians
+from fairreach.operators.reshape import to_long
+from fairreach.plans.serving import map_from_results
+from fairreach.session import stored
 
 
 def plain(rows):
@@ -90,3 +94,49 @@ def test_large_groups_beside_small_ones_by_stratum(spark, monkeypatch):
     want = plain(rows) | {(k, medians.ALL_TIMES): v for (k, _), v in plain([(k, None, v) for k, _, v in rows]).items()}
     got = medians.median_with_all(df, ["k", "s"], "s", "v").collect()
     assert len(got) == len(want) and {(r["k"], r["s"]): r["v"] for r in got} == want
+
+
+def folded_sample(spark):
+    """Rows that each stand for their strata and both metrics, and the long rows they stand for."""
+    rows = [(k, [(s,), ("w",)] if i % 3 else [(s,)], v, None if i % 5 == 0 else float(i % 11)) for i, (k, s, v) in enumerate(sample())]
+    long = [((k, m), s, v) for k, strata, *values in rows for (s,) in strata for m, v in zip("vu", values)]
+    return spark.createDataFrame(rows, "k string, s array<struct<s: string>>, v double, u double"), long
+
+
+def unfold(rows):
+    return to_long(rows.withColumnRenamed("s", "_s").select("k", F.inline("_s"), "v", "u"), {"v": "v", "u": "u"}, ["k", "s"])
+
+
+@pytest.mark.parametrize("large, place", [(100_000, 100_000), (100, 100_000), (100_000, 100), (100, 200)])
+def test_rows_that_stand_for_several_are_folded_until_they_are_sorted(spark, monkeypatch, large, place):
+    monkeypatch.setattr(medians, "GROUP_VALUES", large)
+    monkeypatch.setattr(medians, "PLACE_ROWS", place)
+    df, long = folded_sample(spark)
+    want = plain(long) | {(k, medians.ALL_TIMES): v for (k, _), v in plain([(k, None, v) for k, _, v in long]).items()}
+    found = medians.median_with_all(df, ["k", "s", "metric"], "s", "value", unfold, ["k"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    got = found.collect()
+    assert len(got) == len(want) and {((r["k"], r["metric"]), r["s"]): r["value"] for r in got} == want
+    if min(large, place) > len(long):
+        # the rows are shuffled once, before they are made long
+        assert plan.count("Exchange") == 1 and plan.index("Exchange") > plan.rindex("Generate")
+
+
+def test_results_of_the_map_are_stored_once_each(spark, monkeypatch):
+    """Neither strata that share a time nor metrics multiply what is stored and shuffled."""
+    kept = []
+
+    def counting(df, label):
+        out = stored(df, label)
+        kept.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(medians, "stored", counting)
+    results = spark.createDataFrame([(i, float(i), i * 2.0) for i in range(60)], "trip_id long, a double, b double")
+    trips = spark.range(60).select(F.col("id").alias("trip_id"), (F.col("id") % 2).alias("oa_id"), F.lit(7).alias("poi_id"), F.lit("d").alias("date"), F.lit("t").alias("time"))
+    times = spark.createDataFrame([("d", "t", s) for s in ("x", "y", "y", None)], "date string, time string, stratum string")
+    kinds = spark.createDataFrame([(0, 7, "School"), (1, 7, "School")], "oa_id long, poi_id int, poi_type string")
+    got = map_from_results(results, trips, times, kinds, {"a": "a", "b": "b"}).collect()
+    assert [n for label, n in kept if label == "values"] == [60]
+    want = {(oa, s, m): float((28 + oa) * f) for oa in (0, 1) for s in ("x", "y", None, "All times") for m, f in (("a", 1), ("b", 2))}
+    assert {(r["oa_id"], r["stratum"], r["metric"]): r["value"] for r in got} == want and len(got) == len(want)
